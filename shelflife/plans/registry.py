@@ -12,9 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelflife.operators import analytics as K
+from shelflife.operators import integrity as B
+from shelflife.operators import marts as L
 from shelflife.operators import quality as E
 from shelflife.operators import staging as J
-from shelflife.sources.fixture import FIXTURE_AS_OF, fixture_tables
+from shelflife.sources import files as A
+from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, fixture_tables
+
+# The fixture's product categories (columns of the heatmap).
+FIXTURE_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +33,51 @@ def _q(fn, **params) -> Query:
     return run
 
 
+def _dirty(fn, **params) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(dirty_tables(fixture_tables(spark, sf_dir)), **params)
+    run.__name__ = fn.__name__ + "_dirty"
+    return run
+
+
 AS_OF = {"as_of": FIXTURE_AS_OF}
 
 
+# ---- sources and sinks: round trips through files in the shared scratch folder --
+
+def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write fact_sales as headered CSV, read it back with the declared schema."""
+    path = A.scratch_path(spark, "csv-sink") + "/fact_sales"
+    A.save_csv(fixture_tables(spark, sf_dir)["fact_sales"], path)
+    return A.read_csv_table(spark, path, "fact_sales")
+
+
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the receipts extract (dates, 4- and 2-digit decimals) through the CSV reader."""
+    folder = A.scratch_path(spark, "csv-scan")
+    A.export_csv(fixture_tables(spark, sf_dir), folder, ["fact_goods_receipts"])
+    return A.load_csv(spark, folder, ["fact_goods_receipts"])["fact_goods_receipts"]
+
+
+def file_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export all nine tables as CSV, then count the data rows of each extract."""
+    folder = A.scratch_path(spark, "extract")
+    A.export_csv(fixture_tables(spark, sf_dir), folder)
+    return A.file_row_counts(spark, folder)
+
+
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish a validated new version of all nine tables; report its row counts."""
+    root = A.scratch_path(spark, "store")
+    published = A.full_refresh(spark, fixture_tables(spark, sf_dir), root)
+    return B.post_load_counts(published)
+
+
+def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 10 enriched sales in sale_id order."""
+    return A.table_preview(J.sales_enriched(fixture_tables(spark, sf_dir)), ["sale_id"], 10)
+
+
 def spark_queries() -> dict[str, Query]:
     return {
         # E: profiling and quality
@@ -63,4 +111,41 @@ def spark_queries() -> dict[str, Query]:
         "inventory_aging_summary": _q(K.inventory_aging_summary, **AS_OF),
         "cumulative_revenue_and_expiry": _q(K.cumulative_revenue_and_expiry),
         "warehouse_ranking": _q(K.warehouse_ranking),
+        # B: integrity (clean fixture, then with planted defects)
+        "pk_violations": _q(B.pk_violations),
+        "not_null_violations": _q(B.not_null_violations),
+        "fk_violations": _q(B.fk_violations),
+        "domain_violations": _q(B.domain_violations),
+        "post_load_counts": _q(B.post_load_counts),
+        "pk_violations_dirty": _dirty(B.pk_violations),
+        "not_null_violations_dirty": _dirty(B.not_null_violations),
+        "fk_violations_dirty": _dirty(B.fk_violations),
+        "dq_summary_dirty": _dirty(E.dq_summary),
+        "dq_orphan_batches_dirty": _dirty(E.dq_orphan_batches),
+        "dq_expiry_before_receipt_dirty": _dirty(E.dq_expiry_before_receipt),
+        # A: sources and sinks
+        "csv_sink": csv_sink,
+        "csv_scan": csv_scan,
+        "file_row_counts": file_row_counts,
+        "full_refresh": full_refresh,
+        "table_preview": table_preview,
+        # L: dashboard marts
+        "kpi_executive": _q(L.kpi_executive),
+        "revenue_by_month": _q(L.revenue_by_month),
+        "revenue_by_category": _q(L.revenue_by_category),
+        "revenue_vs_expiry_by_warehouse": _q(L.revenue_vs_expiry_by_warehouse),
+        "expiry_loss_by_month": _q(L.expiry_loss_by_month),
+        "kpi_stockout": _q(L.kpi_stockout),
+        "stockouts_by_month": _q(L.stockouts_by_month),
+        "stockout_heatmap": _q(L.stockout_heatmap, categories=FIXTURE_CATEGORIES),
+        "stockout_rate_by_category": _q(L.stockout_rate_by_category),
+        "purchase_price_by_month": _q(L.purchase_price_by_month),
+        "supplier_reliability_vs_price": _q(L.supplier_reliability_vs_price),
+        "batch_volume_by_supplier": _q(L.batch_volume_by_supplier),
+        "margin_by_month": _q(L.margin_by_month),
+        "margin_by_category": _q(L.margin_by_category),
+        "margin_heatmap": _q(L.margin_heatmap),
+        "aging_by_band": _q(L.aging_by_band, **AS_OF),
+        "at_risk_by_warehouse_category": _q(L.at_risk_by_warehouse_category, **AS_OF),
+        "margin_by_quarter": _q(L.margin_by_quarter),
     }

@@ -283,3 +283,28 @@ class Fixture:
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The nine model tables derived from the driver tables under ``sf_dir``."""
     return Fixture(spark, sf_dir).tables()
+
+
+def dirty_tables(t: Tables) -> Tables:
+    """The fixture with known defects planted (FIXTURES.md §4), for the checks.
+
+    ``ok`` is the order key inside a sale id and ``pk`` the part key inside a
+    batch id; every row of every table is still read.
+    """
+    ok = F.substring("sale_id", 2, 8).cast("bigint")
+    pk = F.substring("batch_id", 2, 6).cast("bigint")
+    s = t["fact_sales"]
+    s = s.withColumn("quantity_sold", F.when(ok % 997 == 0, F.lit(0)).otherwise(F.col("quantity_sold")))
+    s = s.withColumn("warehouse_id", F.when(ok % 997 == 4, F.lit(None).cast("string"))
+                     .otherwise(F.col("warehouse_id")))
+    s = s.unionByName(s.where(ok % 997 == 3))
+    r = t["fact_goods_receipts"]
+    r = r.withColumn("expiry_date", F.when(pk % 97 == 0, F.col("receipt_date"))
+                     .otherwise(F.col("expiry_date")))
+    b = t["fact_sale_batch_map"]
+    b = b.select(
+        F.when(ok % 997 == 2, F.concat("sale_id", F.lit("X"))).otherwise(F.col("sale_id")).alias("sale_id"),
+        F.when(pk % 97 == 3, F.concat("batch_id", F.lit("X"))).otherwise(F.col("batch_id")).alias("batch_id"),
+        F.when(ok % 997 == 1, F.lit(0)).otherwise(F.col("quantity_from_batch")).alias("quantity_from_batch"),
+        "unit_cost_at_sale")
+    return t.replace(fact_sales=s, fact_goods_receipts=r, fact_sale_batch_map=b)
