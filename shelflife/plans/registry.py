@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelflife.operators import allocation as M10
 from shelflife.operators import analytics as K
+from shelflife.operators import inventory as M
 from shelflife.operators import integrity as B
 from shelflife.operators import marts as L
 from shelflife.operators import quality as E
@@ -19,8 +21,10 @@ from shelflife.operators import staging as J
 from shelflife.sources import files as A
 from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, fixture_tables
 
-# The fixture's product categories (columns of the heatmap).
+# The fixture's product categories (columns of the heatmap) and
+# the ones treated as needing cold storage (every category but STANDARD).
 FIXTURE_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+FIXTURE_COLD = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,4 +152,17 @@ def spark_queries() -> dict[str, Query]:
         "aging_by_band": _q(L.aging_by_band, **AS_OF),
         "at_risk_by_warehouse_category": _q(L.at_risk_by_warehouse_category, **AS_OF),
         "margin_by_quarter": _q(L.margin_by_quarter),
+        # M: stock operators
+        "primary_supplier": _q(M.primary_supplier),
+        "stockable_pairs": _q(M.stockable_pairs, cold_categories=FIXTURE_COLD),
+        "active_products": _q(M.active_products, **AS_OF),
+        "expected_demand": _q(M.expected_demand, day=FIXTURE_AS_OF),
+        "purchase_cost_variance": _q(M.purchase_cost_variance),
+        "stock_on_hand": _q(M.stock_on_hand, **AS_OF),
+        "reorder_candidates": _q(M.reorder_candidates, **AS_OF),
+        "inventory_ledger": _q(M.inventory_ledger),
+        "expiry_writeoffs": _q(M.expiry_writeoffs, **AS_OF),
+        "batch_allocation": _q(M10.batch_allocation),
+        "stockout_days": _q(M.stockout_days),
+        "scalar_derivations": _q(M.scalar_derivations),
     }
