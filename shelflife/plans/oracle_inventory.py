@@ -102,15 +102,17 @@ FROM (SELECT warehouse_id, product_id, ledger_date, CAST(SUM(q) AS BIGINT) AS ne
     q["expiry_writeoffs"] = sql(f"""
 SELECT r.batch_id, r.warehouse_id, r.product_id, r.expiry_date AS adjustment_date,
        'Expiry' AS adjustment_type, CAST({_left('so', 'ad')} AS BIGINT) AS quantity_adjusted
-FROM fact_goods_receipts r
-LEFT JOIN (SELECT m.batch_id, SUM(m.quantity_from_batch) AS sold
-           FROM fact_sale_batch_map m JOIN fact_sales s ON m.sale_id = s.sale_id
-           JOIN fact_goods_receipts g ON m.batch_id = g.batch_id
-           WHERE s.sale_date < g.expiry_date GROUP BY m.batch_id) so ON r.batch_id = so.batch_id
-LEFT JOIN (SELECT a.batch_id, SUM(a.quantity_adjusted) AS adjusted
-           FROM fact_inventory_adjustments a JOIN fact_goods_receipts g ON a.batch_id = g.batch_id
-           WHERE a.adjustment_date < g.expiry_date GROUP BY a.batch_id) ad ON r.batch_id = ad.batch_id
-WHERE r.expiry_date <= {AS_OF} AND {_left('so', 'ad')} > 0""")
+FROM expired r
+LEFT JOIN (SELECT e.batch_id, SUM(bs.quantity_from_batch) AS sold
+           FROM bs JOIN expired e ON bs.batch_id = e.batch_id
+           WHERE bs.sale_date < e.expiry_date GROUP BY e.batch_id) so ON r.batch_id = so.batch_id
+LEFT JOIN (SELECT e.batch_id, SUM(a.quantity_adjusted) AS adjusted
+           FROM fact_inventory_adjustments a JOIN expired e ON a.batch_id = e.batch_id
+           WHERE a.adjustment_date < e.expiry_date GROUP BY e.batch_id) ad ON r.batch_id = ad.batch_id
+WHERE {_left('so', 'ad')} > 0""",
+        f"""expired AS MATERIALIZED (SELECT * FROM fact_goods_receipts WHERE expiry_date <= {AS_OF})""",
+        """bs AS MATERIALIZED (SELECT m.batch_id, m.quantity_from_batch, s.sale_date
+                              FROM fact_sale_batch_map m JOIN fact_sales s ON m.sale_id = s.sale_id)""")
     q["batch_allocation"] = sql("""
 SELECT s.sale_id, b.batch_id,
        CAST(LEAST(s.hi, b.hi) - GREATEST(s.hi - s.q, b.hi - b.q) AS BIGINT) AS quantity_from_batch

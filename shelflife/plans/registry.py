@@ -1,8 +1,10 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Each entry derives the model tables from the driver tables under ``sf_dir``
-(lazily: only the tables the operator touches are planned) and runs one
-operator with the fixture's parameters.
+Each entry runs one operator, with the fixture's parameters, over the nine
+model tables that Spark derives from the driver tables under ``sf_dir``.  The
+derivation runs once per session and is stored as Parquet in the shared
+checkpoint folder (:func:`shelflife.sources.fixture.staged_tables`), as the
+model loads its tables once and queries the loaded copy.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from shelflife.operators import marts as L
 from shelflife.operators import quality as E
 from shelflife.operators import staging as J
 from shelflife.sources import files as A
-from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, fixture_tables
+from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, staged_tables
 
 # The fixture's product categories (columns of the heatmap) and
 # the ones treated as needing cold storage (every category but STANDARD).
@@ -31,7 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _q(fn, **params) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(fixture_tables(spark, sf_dir), **params)
+        return fn(staged_tables(spark, sf_dir), **params)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -39,7 +41,7 @@ def _q(fn, **params) -> Query:
 
 def _dirty(fn, **params) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(dirty_tables(fixture_tables(spark, sf_dir)), **params)
+        return fn(dirty_tables(staged_tables(spark, sf_dir)), **params)
     run.__name__ = fn.__name__ + "_dirty"
     return run
 
@@ -52,34 +54,34 @@ AS_OF = {"as_of": FIXTURE_AS_OF}
 def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write fact_sales as headered CSV, read it back with the declared schema."""
     path = A.scratch_path(spark, "csv-sink") + "/fact_sales"
-    A.save_csv(fixture_tables(spark, sf_dir)["fact_sales"], path)
+    A.save_csv(staged_tables(spark, sf_dir)["fact_sales"], path)
     return A.read_csv_table(spark, path, "fact_sales")
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the receipts extract (dates, 4- and 2-digit decimals) through the CSV reader."""
     folder = A.scratch_path(spark, "csv-scan")
-    A.export_csv(fixture_tables(spark, sf_dir), folder, ["fact_goods_receipts"])
+    A.export_csv(staged_tables(spark, sf_dir), folder, ["fact_goods_receipts"])
     return A.load_csv(spark, folder, ["fact_goods_receipts"])["fact_goods_receipts"]
 
 
 def file_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export all nine tables as CSV, then count the data rows of each extract."""
     folder = A.scratch_path(spark, "extract")
-    A.export_csv(fixture_tables(spark, sf_dir), folder)
+    A.export_csv(staged_tables(spark, sf_dir), folder)
     return A.file_row_counts(spark, folder)
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish a validated new version of all nine tables; report its row counts."""
     root = A.scratch_path(spark, "store")
-    published = A.full_refresh(spark, fixture_tables(spark, sf_dir), root)
+    published = A.full_refresh(spark, staged_tables(spark, sf_dir), root)
     return B.post_load_counts(published)
 
 
 def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First 10 enriched sales in sale_id order."""
-    return A.table_preview(J.sales_enriched(fixture_tables(spark, sf_dir)), ["sale_id"], 10)
+    return A.table_preview(J.sales_enriched(staged_tables(spark, sf_dir)), ["sale_id"], 10)
 
 
 def spark_queries() -> dict[str, Query]:
