@@ -271,13 +271,18 @@ def scalar_derivations(t: Tables, max_units: int = 40) -> DataFrame:
     Pack-size token of the product name, weekend flag, quarter, best-before
     date (sale date + shelf life), quantity clamped to [1, ``max_units``],
     net unit price rounded half to even, a day-scoped padded transaction
-    number (numbered inside (warehouse, day), never a global counter), ISO
-    date text and the promotion flag.
+    number, ISO date text and the promotion flag.
+
+    The transaction number counts sales inside (warehouse, day) in sale-id
+    order.  It is a running count computed in two levels (see
+    :mod:`shelflife.operators.running`) with a sale-id prefix as the chunk —
+    a prefix keeps string order — so a busy warehouse-day is never one task.
     """
     from shelflife.functions import scalar as S
-    s = t["fact_sales"]
+    from shelflife.operators.running import running_interval
+    s = t["fact_sales"].withColumn("_one", F.lit(1)).withColumn("_pfx", F.substring("sale_id", 1, 6))
+    s = running_interval(s, ["warehouse_id", "sale_date"], "_pfx", ["sale_id"], "_one", "_lo", "_seq")
     p = t["dim_products"].select("product_id", "product_name", "shelf_life_days")
-    seq = F.row_number().over(Window.partitionBy("warehouse_id", "sale_date").orderBy("sale_id"))
     net = F.col("selling_price_per_unit") * (F.lit(1) - F.col("discount_percent"))
     return s.join(p, "product_id").select(
         "sale_id",
@@ -288,7 +293,7 @@ def scalar_derivations(t: Tables, max_units: int = 40) -> DataFrame:
         S.clamp(F.col("quantity_sold"), 1, max_units).alias("clamped_units"),
         F.bround(net, 2).cast(T.DecimalType(10, 2)).alias("net_unit_price"),
         F.concat_ws("-", "warehouse_id", F.date_format("sale_date", "yyyyMMdd"),
-                    S.padded_id("T", seq, 5)).alias("txn_no"),
+                    S.padded_id("T", F.col("_seq"), 5)).alias("txn_no"),
         S.iso_date(F.col("sale_date")).alias("sale_date_text"),
         S.flag(F.col("discount_percent") > 0).alias("discounted"),
     )

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The stock model is batch only: its facts arrive as full extracts that replace
+the previous load, and no operator needs event-time windows, watermarks or
+state across micro-batches.  Loading is therefore done by the batch readers
+and :func:`shelflife.sources.files.full_refresh`; this package holds no
+operators.
+"""
