@@ -349,7 +349,9 @@ def staged_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None)
         tables = dict(load_parquet(spark, root, plain)._builders)
         for name, col in BUCKETED.items():
             table = f"shelflife_{tag}_{name}"
-            (fx[name].write.mode("overwrite").bucketBy(n, col).sortBy(col)
+            # hash-repartitioning on the bucket column with the same count puts
+            # exactly one bucket in each write task: n files, not tasks x n
+            (fx[name].repartition(n, col).write.mode("overwrite").bucketBy(n, col).sortBy(col)
              .option("path", f"{root}/{name}").saveAsTable(table))
             tables[name] = (lambda tb=table: spark.table(tb))
         _STAGED[key] = Tables(tables)
