@@ -165,6 +165,7 @@ def spark_queries() -> dict[str, Query]:
         "inventory_ledger": _q(M.inventory_ledger),
         "expiry_writeoffs": _q(M.expiry_writeoffs, **AS_OF),
         "batch_allocation": _q(M10.batch_allocation),
+        "batch_allocation_dated": _q(M10.batch_allocation_dated),
         "stockout_days": _q(M.stockout_days),
         "scalar_derivations": _q(M.scalar_derivations),
     }

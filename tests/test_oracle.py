@@ -44,8 +44,12 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == _norm(cols, res.fetchall())
 
 
+# sequential rule (see allocation.py); checked against a brute-force fold instead
+NO_ORACLE = {"batch_allocation_dated"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(ent.queries()) - set(ent.oracle_sql()) == set()
+    assert set(ent.queries()) - set(ent.oracle_sql()) == NO_ORACLE
 
 
 def test_entry(spark):
