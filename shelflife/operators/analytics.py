@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from shelflife.functions.dates import DEFAULT_AS_OF, age_band, band_rank, days_until

@@ -117,9 +117,13 @@ def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_ro
 
     The new version is written to its own folder under ``target_root``; the
     key and foreign-key checks run on what was written; only if they pass is
-    the ``_current`` pointer moved to it, so readers never see a half-loaded
-    or invalid version.  Returns the published tables.
+    a row naming it appended to the ``_published`` log.  Readers take the
+    latest row, so they never see a half-loaded or invalid version, and the
+    publish step (a new file in an append-only log) never leaves a moment
+    without a valid pointer.  Returns the published tables.
     """
+    import time
+
     from shelflife.operators.integrity import fk_violations, pk_violations
 
     root = target_root.rstrip("/")
@@ -133,15 +137,16 @@ def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_ro
             bad_fk.select(F.concat_ws(" ", "child", "fk_column").alias("p"))).limit(20).collect()
         if problems:
             raise RefreshFailed("constraint violations: " + "; ".join(r.p for r in problems))
-    (spark.createDataFrame([(version,)], T.StructType([T.StructField("value", T.StringType())]))
-     .coalesce(1).write.mode("overwrite").text(f"{root}/_current"))
+    entry = spark.createDataFrame([(version, time.time_ns())], "version string, published_ns long")
+    entry.coalesce(1).write.mode("append").json(f"{root}/_published")
     return loaded
 
 
 def load_current(spark: SparkSession, target_root: str) -> Tables:
     """The tables of the version most recently published by :func:`full_refresh`."""
     root = target_root.rstrip("/")
-    version = spark.read.text(f"{root}/_current").first()["value"]
+    log = spark.read.schema("version string, published_ns long").json(f"{root}/_published")
+    version = log.orderBy(F.desc("published_ns")).first()["version"]
     return load_parquet(spark, version)
 
 

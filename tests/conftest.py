@@ -11,9 +11,12 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pyspark.sql import SparkSession
     from shelflife.session import checkpoint_dir
     s = (SparkSession.builder.master("local[*]")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="shelflife-warehouse-"))
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
