@@ -16,6 +16,7 @@ into one or two allocation rows (a generator, no self-union or cross join).
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -316,6 +317,7 @@ def dirty_tables(t: Tables) -> Tables:
 # ---- staged copy ------------------------------------------------------------------
 
 _STAGED: dict[tuple[str, str], Tables] = {}
+_STAGED_LOCK = threading.Lock()
 
 # The two big tables joined on sale_id are stored bucketed (and sorted) on it,
 # so every sales x bridge join reads co-located buckets instead of shuffling.
@@ -334,12 +336,17 @@ def staged_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None)
     bridge are bucketed on ``sale_id`` into ``buckets`` buckets (default:
     ``spark.sql.shuffle.partitions``) so their joins need no shuffle.
     """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _STAGED_LOCK:
+        if key not in _STAGED:
+            _STAGED[key] = _staging(spark, sf_dir, buckets)
+        return _STAGED[key]
+
+
+def _staging(spark: SparkSession, sf_dir: str, buckets: int | None) -> Tables:
     from shelflife.sources.files import scratch_path
     from shelflife.schemas import SCHEMAS
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key in _STAGED:
-        return _STAGED[key]
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     root = scratch_path(spark, "fixture")
     tag = root.rstrip("/").rsplit("-", 1)[-1]
@@ -366,8 +373,7 @@ def staged_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None)
     names = ("dim_products", "dim_warehouses", "dim_suppliers", "dim_supplier_products",
              "fact_sales", "fact_goods_receipts", "fact_sale_batch_map",
              "fact_inventory_adjustments", "fact_stockout_events")
-    _STAGED[key] = Tables({nm: (lambda nm=nm: build(nm)) for nm in names})
-    return _STAGED[key]
+    return Tables({nm: (lambda nm=nm: build(nm)) for nm in names})
 
 
 # tables whose derivation reads the order lines

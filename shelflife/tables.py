@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
@@ -12,15 +13,20 @@ class Tables(Mapping):
 
     Building a DataFrame only creates a logical plan, so an operator that
     touches three tables never plans (or lists files for) the other six.
+    Builders that write (staged tables) run once even when several threads
+    query the same mapping.
     """
 
     def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._builders[name]()
+            with self._lock:
+                if name not in self._built:
+                    self._built[name] = self._builders[name]()
         return self._built[name]
 
     def __iter__(self) -> Iterator[str]:

@@ -34,3 +34,25 @@ def test_dirty_fixture_plants_known_defects(small):
     r = d["fact_goods_receipts"]
     assert r.where(F.col("expiry_date") <= F.col("receipt_date")).count() == 30
     assert d["fact_sale_batch_map"].where(F.col("quantity_from_batch") <= 0).count() == 12
+
+
+def test_staged_tables_concurrent_first_use(spark):
+    """Several threads touching a fresh staged mapping build each table once."""
+    import threading
+
+    from shelflife.sources import fixture as fx
+    t = fx._staging(spark, "/root/testdata/sf0.001", None)
+    out, errors = [], []
+
+    def work():
+        try:
+            out.append(t["fact_stockout_events"].count())
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+
+    threads = [threading.Thread(target=work) for _ in range(4)]
+    for th in threads:
+        th.start()
+    for th in threads:
+        th.join()
+    assert not errors and out == [315] * 4
