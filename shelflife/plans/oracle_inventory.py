@@ -121,7 +121,7 @@ FROM (SELECT sale_id, warehouse_id, product_id, quantity_sold AS q,
                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi
       FROM fact_sales WHERE quantity_sold > 0) s
 JOIN (SELECT batch_id, warehouse_id, product_id, quantity_received AS q,
-             SUM(quantity_received) OVER (PARTITION BY warehouse_id, product_id ORDER BY expiry_date, batch_id
+             SUM(quantity_received) OVER (PARTITION BY warehouse_id, product_id ORDER BY expiry_date, receipt_date, batch_id
                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi
       FROM fact_goods_receipts WHERE quantity_received > 0) b
   ON s.warehouse_id = b.warehouse_id AND s.product_id = b.product_id
