@@ -36,10 +36,11 @@ class Tables(Mapping):
         return len(self._builders)
 
     def replace(self, **frames: DataFrame) -> "Tables":
-        """A copy with some tables swapped for the given frames."""
-        b = dict(self._builders)
-        for k, df in frames.items():
-            b[k] = (lambda d=df: d)
-        out = Tables(b)
-        out._built.update({k: v for k, v in self._built.items() if k not in frames})
-        return out
+        """A view with some tables swapped for the given frames.
+
+        Every other table is fetched from this mapping (built once, here), so a
+        builder with side effects — a staged write — never runs twice.
+        """
+        b = {k: (lambda k=k: self[k]) for k in self._builders if k not in frames}
+        b.update({k: (lambda d=df: d) for k, df in frames.items()})
+        return Tables(b)

@@ -56,3 +56,19 @@ def test_staged_tables_concurrent_first_use(spark):
     for th in threads:
         th.join()
     assert not errors and out == [315] * 4
+
+
+def test_replace_delegates_to_original(spark):
+    calls = []
+
+    def builder(name):
+        def build():
+            calls.append(name)
+            return spark.range(1)
+        return build
+
+    from shelflife.tables import Tables
+    t = Tables({"a": builder("a"), "b": builder("b")})
+    v = t.replace(b=spark.range(2))
+    v["a"], t["a"], v["a"]
+    assert calls == ["a"] and v["b"].count() == 2
