@@ -351,11 +351,13 @@ def _staging(spark: SparkSession, sf_dir: str, buckets: int | None) -> Tables:
     root = scratch_path(spark, "fixture")
     tag = root.rstrip("/").rsplit("-", 1)[-1]
     state: dict[str, Fixture] = {}
+    line_lock = threading.Lock()
 
     def fixture() -> Fixture:
-        if "fx" not in state:
-            Fixture(spark, sf_dir).line().write.mode("overwrite").parquet(f"{root}/_line")
-            state["fx"] = Fixture(spark, sf_dir, line=spark.read.parquet(f"{root}/_line"))
+        with line_lock:
+            if "fx" not in state:
+                Fixture(spark, sf_dir).line().write.mode("overwrite").parquet(f"{root}/_line")
+                state["fx"] = Fixture(spark, sf_dir, line=spark.read.parquet(f"{root}/_line"))
         return state["fx"]
 
     def build(name: str) -> DataFrame:
@@ -381,7 +383,13 @@ _FROM_LINE = {"fact_sales", "fact_goods_receipts", "fact_sale_batch_map",
               "fact_inventory_adjustments", "fact_stockout_events"}
 
 
-def stage_all(tables: Tables) -> None:
-    """Force every table of a staged mapping to be built (the full load)."""
-    for name in tables:
-        tables[name]
+def stage_all(tables: Tables, parallel: int = 4) -> None:
+    """Force every table of a staged mapping to be built (the full load).
+
+    The nine writes are independent Spark jobs, so they are submitted from a
+    few driver threads and share the executors instead of running one by one.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(lambda name: tables[name], list(tables)))

@@ -20,11 +20,12 @@ class Tables(Mapping):
     def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        # one lock per table: different tables may be built concurrently
+        self._locks = {name: threading.Lock() for name in self._builders}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            with self._lock:
+            with self._locks[name]:
                 if name not in self._built:
                     self._built[name] = self._builders[name]()
         return self._built[name]
