@@ -8,8 +8,6 @@ table operation over the recorded facts (no randomness, no day loop).
 
 from __future__ import annotations
 
-
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -13,7 +13,7 @@ from shelflife.functions.money import pct, ratio_half_up
 def _expected(n: Decimal, d: Decimal, factor: int, scale: int):
     if d == 0:
         return None
-    q = n * factor / d if False else (n * factor) / d
+    q = (n * factor) / d
     return q.quantize(Decimal(1).scaleb(-scale), rounding=ROUND_HALF_UP)
 
 
