@@ -53,11 +53,19 @@ def save_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def _each(names: Iterable[str], fn, parallel: int = 4) -> None:
+    """Run ``fn(name)`` for every table; the writes are independent Spark jobs,
+    so a few driver threads submit them together and they share the executors."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(fn, list(names)))
+
+
 def export_csv(tables: Mapping[str, DataFrame], folder: str,
                names: Iterable[str] = TABLE_NAMES) -> None:
     folder = folder.rstrip("/")
-    for n in names:
-        save_csv(tables[n], f"{folder}/{n}")
+    _each(names, lambda n: save_csv(tables[n], f"{folder}/{n}"))
 
 
 # ---- Parquet ------------------------------------------------------------------
@@ -65,8 +73,7 @@ def export_csv(tables: Mapping[str, DataFrame], folder: str,
 def save_parquet(tables: Mapping[str, DataFrame], folder: str,
                  names: Iterable[str] = TABLE_NAMES) -> None:
     folder = folder.rstrip("/")
-    for n in names:
-        tables[n].write.mode("overwrite").parquet(f"{folder}/{n}")
+    _each(names, lambda n: tables[n].write.mode("overwrite").parquet(f"{folder}/{n}"))
 
 
 def load_parquet(spark: SparkSession, folder: str, names: Iterable[str] = TABLE_NAMES) -> Tables:
