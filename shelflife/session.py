@@ -7,8 +7,10 @@ shared folder and shuffle sizing is set for the data.  Locally (tests, bench)
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,13 +52,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Taken from the session (``spark.checkpoint.dir``, which the cluster sets to
-    a shared folder).  Only when the session has none (local tests) a fresh
-    scratch folder is created and registered.
+    a shared folder).  A local session without one gets a fresh scratch folder;
+    on a cluster that is an error, because executors do not share local disks.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all "
+                               "executors share")
         d = tempfile.mkdtemp(prefix="shelflife-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
+
+
+_scratch: list[str] = []
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the shared checkpoint folder, removed when the program ends."""
+    if not _scratch:
+        atexit.register(drop_scratch)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shelflife-{tag}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch() -> None:
+    """Remove the folders handed out by :func:`scratch_path`; needs a live session."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)

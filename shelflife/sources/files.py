@@ -18,17 +18,12 @@ from pyspark.sql import types as T
 
 from shelflife.operators.common import union_all
 from shelflife.schemas import SCHEMAS, TABLE_NAMES
-from shelflife.session import checkpoint_dir
+from shelflife.session import scratch_path  # noqa: F401
 from shelflife.tables import Tables
 
 NOT_FOUND = "NOT FOUND"
 
 
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/shelflife-{tag}-{uuid.uuid4().hex[:12]}"
-
-
 # ---- CSV ----------------------------------------------------------------------
 
 def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
