@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import huffman, packing
+from shelflife.llm import dedup, huffman, mixing, packing, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,8 +29,26 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         end_id=0, capacity=2048)
 
 
+def op3_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicate groups of all documents."""
+    return dedup.exact_groups(_table(spark, sf_dir, "documents"))
+
+
+def op7_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mixture takes of every document."""
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents."""
+    return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
+
+
+QUERIES = (op3_grace_dedup, op4_token_files, op6_best_fit_packing, op7_pareto_mixing, op10_simhash)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_files, op6_best_fit_packing)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def llm_oracles() -> dict[str, str]:
