@@ -132,7 +132,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, seq, shard = encoder(tokenizer), 0, TaskContext.get().partitionId()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 4 << 20):
             ids, ends = enc.encode(part.column(1))
             end = enc.dtype.type(end_id).tobytes()
             own = [ids[a:b].tobytes() + end for a, b in zip(ends, ends[1:])]

@@ -84,7 +84,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
         enc, bins = encoder(tokenizer), OpenBins(capacity, n_open)
         task = TaskContext.get()
         base = (task.partitionId() if task else 0) << 40
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 4 << 20):
             ids, ends = enc.encode(part.column(1))
             out: list[list] = [[] for _ in range(7 + with_ids)]
             for i, doc in enumerate(part.column(0).to_pylist()):
