@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import dedup, huffman, mixing, packing, simhash
+from shelflife.llm import dedup, huffman, langid, mixing, packing, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,6 +29,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         end_id=0, capacity=2048)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from labels that are not held out."""
+    return langid.languages(_table(spark, sf_dir, "documents"))
+
+
 def op3_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicate groups of all documents."""
     return dedup.exact_groups(_table(spark, sf_dir, "documents"))
@@ -44,7 +49,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
 
 
-QUERIES = (op3_grace_dedup, op4_token_files, op6_best_fit_packing, op7_pareto_mixing, op10_simhash)
+QUERIES = (op2_language, op3_grace_dedup, op4_token_files, op6_best_fit_packing, op7_pareto_mixing, op10_simhash)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
