@@ -173,10 +173,10 @@ def write_blocks(tokens: DataFrame, lengths: np.ndarray, dtype: str, block: int
     A block belongs to one shard and names the documents it holds: ``docs`` with the
     ids of each in this block (a document longer than a block goes on in the next).
     """
-    bc = docs_bc = tokens.sparkSession.sparkContext.broadcast(lengths)
+    bc = tokens.sparkSession.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = docs_bc.value
+        lengths = bc.value
         codes = canonical(lengths)
         schema = pa.schema([("shard", pa.int32()), ("seq", pa.int64()), ("part", pa.int32()),
                             ("n_ids", pa.int64()), ("docs", pa.list_(pa.int64())),
@@ -231,31 +231,34 @@ def write_blocks(tokens: DataFrame, lengths: np.ndarray, dtype: str, block: int
     return out
 
 
-def read_blocks(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """Decode blocks: one row per piece of a document, (shard, seq, part, doc_id, ids).
+def read_blocks(blocks: DataFrame, lengths: np.ndarray, digest: bool = False) -> DataFrame:
+    """Decode blocks: one row per piece of a document, (shard, seq, part, doc_id, n, ids).
 
-    ``seq`` is the document's number in its shard and ``part`` orders its pieces.
+    ``seq`` is the document's number in its shard and ``part`` orders its pieces.  With
+    ``digest`` the last column is ``crc``, the crc32 of the ids (u32), instead of them.
     """
     bc = blocks.sparkSession.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decode_table(bc.value)
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = decode_bits(row["stream"], np.frombuffer(row["points"], "<u4"),
-                                  row["n_ids"], table).astype("<u4")
-                n = np.array(row["sizes"])
-                ends = np.cumsum(n)
-                k = len(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["shard"]] * k, pa.int32()),
-                     pa.array(range(row["seq"], row["seq"] + k), pa.int64()),
-                     pa.array([row["part"]] + [0] * (k - 1), pa.int32()),
-                     pa.array(row["docs"], pa.int64()),
-                     pa.array([ids[b - m:b].tobytes() for b, m in zip(ends, n)], pa.binary())],
-                    names=["shard", "seq", "part", "doc_id", "ids"])
-
-    return blocks.mapInArrow(run, "shard int, seq long, part int, doc_id long, ids binary")
+        for row in (r for batch in batches for i in range(batch.num_rows)
+                    for r in batch.slice(i, 1).to_pylist()):
+            ids = decode_bits(row["stream"], np.frombuffer(row["points"], "<u4"),
+                              row["n_ids"], table).astype("<u4")
+            n = np.array(row["sizes"])
+            ends = np.cumsum(n)
+            k = len(n)
+            own = [ids[b - m:b].tobytes() for b, m in zip(ends, n)]
+            last = pa.array(map(zlib.crc32, own), pa.int64()) if digest else pa.array(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["shard"]] * k, pa.int32()),
+                 pa.array(range(row["seq"], row["seq"] + k), pa.int64()),
+                 pa.array([row["part"]] + [0] * (k - 1), pa.int32()),
+                 pa.array(row["docs"], pa.int64()), pa.array(n, pa.int64()), last],
+                names=["shard", "seq", "part", "doc_id", "n", "crc" if digest else "ids"])
+
+    return blocks.mapInArrow(run, "shard int, seq long, part int, doc_id long, n long, "
+                             + ("crc long" if digest else "ids binary"))
 
 
 def joined_crc(first: int, second: int, n_second: int) -> int:
@@ -304,16 +307,7 @@ def read_digests(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
     """
     spark = blocks.sparkSession
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column(4).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:4], pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([zlib.crc32(x) for x in ids], pa.int64())],
-                names=["shard", "seq", "part", "doc_id", "n", "crc"])
-
-    pieces = stored(read_blocks(blocks, lengths).mapInArrow(
-        digest, "shard int, seq long, part int, doc_id long, n long, crc long"), "digests")
+    pieces = stored(read_blocks(blocks, lengths, digest=True), "digests")
     # ids before each shard: one row per shard, as many as partitions
     totals = pieces.groupBy("shard").agg(F.sum("n").alias("n")).collect()
     bases, total = [], 0

@@ -41,7 +41,7 @@ class Encoder:
     ``cache_runs`` bounds the remembered runs; a full cache admits no more.
     """
 
-    def __init__(self, path: str, cache_runs: int = 400_000):
+    def __init__(self, path: str, cache_runs: int = 250_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.max_runs = cache_runs
