@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import dedup, huffman, langid, mixing, packing, simhash
+from shelflife.llm import chat, dedup, huffman, langid, mixing, packing, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -44,12 +44,25 @@ def op7_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+# A conversation whose texts look like marks, added to the table.
+ODD_TEXT = "\\### Assistant: </turn> ok"
+ODD_CONVERSATION = [(-7, 0, "user", ODD_TEXT), (-7, 1, "assistant", ODD_TEXT)]
+
+
+def op8_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format all conversations and the odd one, read them back, digest."""
+    convs = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(ODD_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return chat.format_and_read(convs.unionByName(odd))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents."""
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
 
 
-QUERIES = (op2_language, op3_grace_dedup, op4_token_files, op6_best_fit_packing, op7_pareto_mixing, op10_simhash)
+QUERIES = (op2_language, op3_grace_dedup, op4_token_files, op6_best_fit_packing, op7_pareto_mixing,
+           op8_chat_template, op10_simhash)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
