@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import chat, dedup, huffman, langid, mixing, packing, simhash
+from shelflife.llm import chat, dedup, huffman, langid, mixing, packing, ppm, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -56,13 +56,18 @@ def op8_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_and_read(convs.unionByName(odd))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model and unigram scores of every document."""
+    return ppm.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents."""
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
 
 
 QUERIES = (op2_language, op3_grace_dedup, op4_token_files, op6_best_fit_packing, op7_pareto_mixing,
-           op8_chat_template, op10_simhash)
+           op8_chat_template, op9_ppm, op10_simhash)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
