@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import chat, dedup, huffman, langid, mixing, packing, ppm, simhash
+from shelflife.llm import chat, dedup, huffman, iblt, langid, mixing, packing, ppm, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -23,6 +23,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_digests(blocks, lengths)
 
 
+def op5_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, and their likeness."""
+    return iblt.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
@@ -66,7 +71,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
 
 
-QUERIES = (op2_language, op3_grace_dedup, op4_token_files, op6_best_fit_packing, op7_pareto_mixing,
+QUERIES = (op2_language, op3_grace_dedup, op4_token_files, op5_iblt_fingerprints, op6_best_fit_packing, op7_pareto_mixing,
            op8_chat_template, op9_ppm, op10_simhash)
 
 
