@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import chat, dedup, huffman, iblt, langid, mixing, packing, ppm, simhash
+from shelflife.llm import chat, dedup, html, huffman, iblt, langid, mixing, packing, ppm, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -34,6 +34,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         end_id=0, capacity=2048)
 
 
+def op1_html_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from labels that are not held out."""
     return langid.languages(_table(spark, sf_dir, "documents"))
@@ -71,7 +76,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
 
 
-QUERIES = (op2_language, op3_grace_dedup, op4_token_files, op5_iblt_fingerprints, op6_best_fit_packing, op7_pareto_mixing,
+QUERIES = (op1_html_model, op2_language, op3_grace_dedup, op4_token_files, op5_iblt_fingerprints, op6_best_fit_packing, op7_pareto_mixing,
            op8_chat_template, op9_ppm, op10_simhash)
 
 
