@@ -227,10 +227,12 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     classes = folded.filter("group_size is not null").select(
         *key, "keep_id", "keep_part", "keep_at", "group_size")
     pairs = folded.filter("ids is not null").select(*key, "part", "ids", "sha")
-    return pairs.join(classes, key).select(
-        F.posexplode("ids").alias("at", "doc_id"), "keep_id", "group_size",
-        ((F.col("part") == F.col("keep_part")) & (F.col("at") == F.col("keep_at"))).alias("kept"),
-        F.col("sha").alias("text_sha256"))
+    each = pairs.join(classes, key).select(
+        F.posexplode("ids").alias("at", "doc_id"), "part", "sha", "keep_id", "keep_part", "keep_at",
+        "group_size")
+    kept = (F.col("part") == F.col("keep_part")) & (F.col("at") == F.col("keep_at"))
+    return each.select("doc_id", "keep_id", "group_size", kept.alias("kept"),
+                       F.col("sha").alias("text_sha256"))
 
 
 def drop_exact(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:

@@ -203,6 +203,16 @@ class Trie:
         raw, at, begins = _positions(texts, self.order)
         if not len(begins):
             return np.zeros(0)
+        value = self.position_scores(raw, at, begins)
+        if mine is not None:
+            last = np.zeros(len(at), np.int64)
+            for k in range(LOW, 0, -1):
+                last = (last << 8) | raw[at - k]
+            value = value * mine[last]
+        return np.add.reduceat(value, begins, dtype=np.float64)
+
+    def position_scores(self, raw: np.ndarray, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """log10 probability of the symbol at each position."""
         col, w = self.column[raw], self.width
         walk = np.zeros(len(at), np.int32)
         node = walk.copy()
@@ -234,12 +244,7 @@ class Trie:
             value[todo[hit]] += self.logc[entry[hit]] + self.left[below[hit]]
             value[todo[~hit]] += self.excluded[below[~hit]]
             todo, below = todo[~hit], up[~hit]
-        if mine is not None:
-            last = np.zeros(len(at), np.int64)
-            for k in range(LOW, 0, -1):
-                last = (last << 8) | raw[at - k]
-            value = value * mine[last]
-        return np.add.reduceat(value, begins, dtype=np.float64)
+        return value
 
 
 class _Slots:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import chat, dedup, html, huffman, iblt, langid, mixing, packing, ppm, simhash
+from shelflife.llm import chat, dedup, html, huffman, iblt, langid, mixing, oracles, packing, ppm, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -85,4 +85,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op3_grace_dedup": oracles.OP3, "op7_pareto_mixing": oracles.OP7,
+            "op8_chat_template": oracles.OP8}
