@@ -15,16 +15,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)      # money totals: wide enough for any fixture total
+MONEY = T.DecimalType(38, 2)      # money totals: as wide as decimals get
 RATE = T.DecimalType(10, 2)       # percentages and per-unit averages
 CUM_MONEY = T.DecimalType(38, 2)  # running totals
 _INT = T.DecimalType(38, 0)
 
 
-def money(c: Column) -> Column:
-    return c.cast(MONEY)
-
-
 def _unscaled(c: Column, scale: int) -> Column:
     """The integer ``c * 10**scale`` as decimal(38,0); exact for a column with ``scale`` digits."""
     if scale == 0:

@@ -18,16 +18,10 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def warehouses(t: Tables, *cols: str) -> DataFrame:
-    """The warehouse dimension, hinted for broadcast.
-
-    Its size is bounded by the number of physical sites (one row per site, a
-    handful to a few hundred), not by the fact volume, so the hint is safe at
-    any data scale.  Products and suppliers grow with the catalogue and carry
-    no hint: the planner (and AQE at run time) broadcasts them only when their
-    measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
-    """
+    """The warehouse dimension.  No hint: the planner and AQE broadcast it when its
+    measured size is under ``spark.sql.autoBroadcastJoinThreshold``."""
     w = t["dim_warehouses"]
-    return F.broadcast(w.select(*cols) if cols else w)
+    return w.select(*cols) if cols else w
 
 
 def expiry_rows(t: Tables) -> DataFrame:

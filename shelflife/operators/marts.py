@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelflife.functions.dates import DEFAULT_AS_OF
 from shelflife.functions.money import MONEY, avg_half_up, pct, ratio_half_up
-from shelflife.operators.common import Tables, expiry_rows, warehouses
+from shelflife.operators.common import Tables, expiry_rows, union_all, warehouses
 from shelflife.operators.staging import inventory_aging
 
 MONTHS = tuple(range(1, 13))
@@ -64,28 +65,34 @@ def _margin_cols(rev: Column, cost: Column) -> list[Column]:
             pct(rev - cost, rev, num_scale=4, den_scale=2).alias("gross_margin_percent")]
 
 
-def _one_row(*frames: DataFrame) -> DataFrame:
-    """Join single-row aggregates side by side (equi-join on a constant key)."""
-    keyed = [f.withColumn("_k", F.lit(1)) for f in frames]
-    out = keyed[0]
-    for f in keyed[1:]:
-        out = out.join(F.broadcast(f), "_k")
-    return out.drop("_k")
-
-
 # ---- page 1: executive summary -------------------------------------------------
 
 def kpi_executive(t: Tables) -> DataFrame:
-    """L1: one row: revenue, expiry loss, stock-out events, expiry % of revenue, margin %."""
-    rev = _revenue(t).agg(F.sum("rev").cast(MONEY).alias("total_revenue"))
-    loss = _expiry(t).agg(F.sum("loss").cast(MONEY).alias("total_expiry_loss"))
-    so = t["fact_stockout_events"].agg(F.count(F.lit(1)).alias("total_stockout_events"))
-    m = _allocated_margin(t).agg(F.sum("rev").alias("arev"), F.sum("cost").alias("acost"))
-    j = _one_row(rev, loss, so, m)
+    """L1: one row: revenue, expiry loss, stock-out events, expiry % of revenue, margin %.
+
+    The four facts' one-row sums are stacked, each in its own columns, and folded by
+    one aggregate: no join.
+    """
+    wide = T.DecimalType(38, 4)
+    none = F.lit(None).cast(wide)
+
+    def part(df: DataFrame, **sums) -> DataFrame:
+        names = ("rev", "loss", "events", "arev", "acost")
+        return df.agg(*[F.sum(sums[n]).cast(wide).alias(n) if n in sums else none.alias(n)
+                        for n in names])
+
+    j = union_all([
+        part(_revenue(t), rev="rev"), part(_expiry(t), loss="loss"),
+        t["fact_stockout_events"].agg(none.alias("rev"), none.alias("loss"),
+                                      F.count(F.lit(1)).cast(wide).alias("events"),
+                                      none.alias("arev"), none.alias("acost")),
+        part(_allocated_margin(t), arev="rev", acost="cost"),
+    ]).agg(*[F.max(n).alias(n) for n in ("rev", "loss", "events", "arev", "acost")])
+    rev, loss = F.col("rev").cast(MONEY), F.col("loss").cast(MONEY)
     return j.select(
-        "total_revenue", "total_expiry_loss", "total_stockout_events",
-        pct(F.col("total_expiry_loss"), F.col("total_revenue"), num_scale=2, den_scale=2)
-        .alias("expiry_loss_percent_of_revenue"),
+        rev.alias("total_revenue"), loss.alias("total_expiry_loss"),
+        F.coalesce(F.col("events"), F.lit(0)).cast("bigint").alias("total_stockout_events"),
+        pct(loss, rev, num_scale=2, den_scale=2).alias("expiry_loss_percent_of_revenue"),
         pct(F.col("arev") - F.col("acost"), F.col("arev"), num_scale=4, den_scale=2)
         .alias("gross_margin_percent"))
 
@@ -143,16 +150,19 @@ def stockouts_by_month(t: Tables, by_year: bool = False) -> DataFrame:
 def stockout_heatmap(t: Tables, categories: tuple[str, ...]) -> DataFrame:
     """Warehouse x category matrix of stock-out events (0 where none).
 
-    The category columns are given (a fixed list), so the pivot needs no
-    extra pass to discover them.
+    The category columns are given, so the pivot needs no extra pass to discover
+    them; ``other`` counts the events of all further categories and ``total`` all.
     """
     per = (t["fact_stockout_events"].groupBy("warehouse_id", "product_id")
            .agg(F.count(F.lit(1)).alias("n"))
            .join(_products(t, "category"), "product_id")
            .join(warehouses(t, "warehouse_id", "warehouse_name"), "warehouse_id"))
-    wide = per.groupBy("warehouse_name").pivot("category", list(categories)).agg(F.sum("n"))
-    return wide.select("warehouse_name", *[
-        F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(c) for c in categories])
+    column = F.when(F.col("category").isin(*categories), F.col("category")).otherwise("other")
+    names = [*categories, "other"]
+    wide = per.withColumn("c", column).groupBy("warehouse_name").pivot("c", names).agg(F.sum("n"))
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint") for c in names]
+    return wide.select("warehouse_name", *[x.alias(c) for x, c in zip(cells, names)],
+                       sum(cells[1:], cells[0]).alias("total"))
 
 
 def stockout_rate_by_category(t: Tables) -> DataFrame:

@@ -136,23 +136,23 @@ def sql(body: str, *ctes: str) -> str:
 DIRTY_CTES = [
     """d_sales0 AS (
   SELECT sale_id, sale_date,
-         CASE WHEN CAST(substr(sale_id, 2, 8) AS BIGINT) % 997 = 4 THEN NULL ELSE warehouse_id END AS warehouse_id,
+         CASE WHEN CAST(split_part(substr(sale_id, 2), '-', 1) AS BIGINT) % 997 = 4 THEN NULL ELSE warehouse_id END AS warehouse_id,
          product_id,
-         CASE WHEN CAST(substr(sale_id, 2, 8) AS BIGINT) % 997 = 0 THEN 0 ELSE quantity_sold END AS quantity_sold,
+         CASE WHEN CAST(split_part(substr(sale_id, 2), '-', 1) AS BIGINT) % 997 = 0 THEN 0 ELSE quantity_sold END AS quantity_sold,
          selling_price_per_unit, discount_percent, promotion_flag
   FROM fact_sales)""",
     """d_fact_sales AS (
   SELECT * FROM d_sales0
-  UNION ALL SELECT * FROM d_sales0 WHERE CAST(substr(sale_id, 2, 8) AS BIGINT) % 997 = 3)""",
+  UNION ALL SELECT * FROM d_sales0 WHERE CAST(split_part(substr(sale_id, 2), '-', 1) AS BIGINT) % 997 = 3)""",
     """d_fact_goods_receipts AS (
   SELECT receipt_id, batch_id, product_id, supplier_id, warehouse_id, receipt_date, manufacture_date,
-         CASE WHEN CAST(substr(batch_id, 2, 6) AS BIGINT) % 97 = 0 THEN receipt_date ELSE expiry_date END AS expiry_date,
+         CASE WHEN CAST(split_part(substr(batch_id, 2), '-', 1) AS BIGINT) % 97 = 0 THEN receipt_date ELSE expiry_date END AS expiry_date,
          quantity_received, purchase_price_per_unit, total_batch_cost
   FROM fact_goods_receipts)""",
     """d_fact_sale_batch_map AS (
-  SELECT CASE WHEN CAST(substr(sale_id, 2, 8) AS BIGINT) % 997 = 2 THEN sale_id || 'X' ELSE sale_id END AS sale_id,
-         CASE WHEN CAST(substr(batch_id, 2, 6) AS BIGINT) % 97 = 3 THEN batch_id || 'X' ELSE batch_id END AS batch_id,
-         CASE WHEN CAST(substr(sale_id, 2, 8) AS BIGINT) % 997 = 1 THEN 0 ELSE quantity_from_batch END AS quantity_from_batch,
+  SELECT CASE WHEN CAST(split_part(substr(sale_id, 2), '-', 1) AS BIGINT) % 997 = 2 THEN sale_id || 'X' ELSE sale_id END AS sale_id,
+         CASE WHEN CAST(split_part(substr(batch_id, 2), '-', 1) AS BIGINT) % 97 = 3 THEN batch_id || 'X' ELSE batch_id END AS batch_id,
+         CASE WHEN CAST(split_part(substr(sale_id, 2), '-', 1) AS BIGINT) % 997 = 1 THEN 0 ELSE quantity_from_batch END AS quantity_from_batch,
          unit_cost_at_sale
   FROM fact_sale_batch_map)""",
 ]

@@ -60,21 +60,33 @@ def domain_sql(src: Src) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# The five quality checks, their names and the rows they find.
+QUALITY = {
+    "A": ("Sales with zero or negative quantity", "dq_nonpositive_sales", "fact_sales",
+          "quantity_sold <= 0"),
+    "B": ("Batches expired before receipt date", "dq_expiry_before_receipt", "fact_goods_receipts",
+          "expiry_date <= receipt_date"),
+    "C": ("Zero quantities in batch map", "dq_nonpositive_batch_qty", "fact_sale_batch_map",
+          "quantity_from_batch <= 0"),
+    "D": ("Orphaned sale IDs in batch map", "dq_orphan_sales", "fact_sale_batch_map",
+          ("fact_sales", "sale_id")),
+    "E": ("Orphaned batch IDs in batch map", "dq_orphan_batches", "fact_sale_batch_map",
+          ("fact_goods_receipts", "batch_id"))}
+
+
+def offenders(src: Src, table: str, rule) -> str:
+    """The rows of a table that break a rule: a condition, or (parent, key) without a match."""
+    if isinstance(rule, str):
+        return f"FROM {src(table)} WHERE {rule}"
+    parent, key = rule
+    return f"FROM {src(table)} ANTI JOIN {src(parent)} USING ({key})"
+
+
 def dq_summary_sql(src: Src) -> str:
-    s, r, b = src("fact_sales"), src("fact_goods_receipts"), src("fact_sale_batch_map")
-    return f"""
-SELECT check_id, check_name, violations, violations = 0 AS passed FROM (
-  SELECT 'A' AS check_id, 'Sales with zero or negative quantity' AS check_name,
-         (SELECT COUNT(*) FROM {s} WHERE quantity_sold <= 0) AS violations
-  UNION ALL SELECT 'B', 'Batches expired before receipt date',
-         (SELECT COUNT(*) FROM {r} WHERE expiry_date <= receipt_date)
-  UNION ALL SELECT 'C', 'Zero quantities in batch map',
-         (SELECT COUNT(*) FROM {b} WHERE quantity_from_batch <= 0)
-  UNION ALL SELECT 'D', 'Orphaned sale IDs in batch map',
-         (SELECT COUNT(*) FROM {b} sbm LEFT JOIN {s} x ON sbm.sale_id = x.sale_id WHERE x.sale_id IS NULL)
-  UNION ALL SELECT 'E', 'Orphaned batch IDs in batch map',
-         (SELECT COUNT(*) FROM {b} sbm LEFT JOIN {r} gr ON sbm.batch_id = gr.batch_id
-          WHERE gr.batch_id IS NULL))"""
+    return " UNION ALL ".join(
+        f"SELECT '{k}' AS check_id, '{name}' AS check_name, count(*) AS violations, "
+        f"count(*) = 0 AS passed {offenders(src, table, rule)}"
+        for k, (name, _, table, rule) in QUALITY.items())
 
 
 ROW_COUNTS_BODY = "\nUNION ALL\n".join(
@@ -92,11 +104,6 @@ def oracle_checks() -> dict[str, str]:
         "not_null_violations_dirty": sql(not_null_sql(dirty), *DIRTY_CTES),
         "fk_violations_dirty": sql(fk_sql(dirty), *DIRTY_CTES),
         "dq_summary_dirty": sql(dq_summary_sql(dirty), *DIRTY_CTES),
-        "dq_orphan_batches_dirty": sql(
-            "SELECT sbm.* FROM d_fact_sale_batch_map sbm LEFT JOIN d_fact_goods_receipts gr "
-            "ON sbm.batch_id = gr.batch_id WHERE gr.batch_id IS NULL", *DIRTY_CTES),
-        "dq_expiry_before_receipt_dirty": sql(
-            "SELECT * FROM d_fact_goods_receipts WHERE expiry_date <= receipt_date", *DIRTY_CTES),
         # file round trips: the data must come back unchanged
         "csv_sink": sql("SELECT * FROM fact_sales"),
         "csv_scan": sql("SELECT * FROM fact_goods_receipts"),
@@ -106,4 +113,8 @@ def oracle_checks() -> dict[str, str]:
             f"rc AS ({ROW_COUNTS_BODY})"),
         "full_refresh": sql(ROW_COUNTS_BODY),
     }
+    q["dq_summary"] = sql(dq_summary_sql(clean))
+    for _, key, table, rule in QUALITY.values():
+        q[key] = sql(f"SELECT * {offenders(clean, table, rule)}")
+        q[key + "_dirty"] = sql(f"SELECT * {offenders(dirty, table, rule)}", *DIRTY_CTES)
     return q

@@ -1,132 +1,80 @@
-"""Oracle SQL for the dashboard marts (plain joins over the enriched views)."""
+"""Oracle SQL for the dashboard marts, over the cells of :mod:`shelflife.plans.oracle`."""
 
 from __future__ import annotations
 
 from shelflife.plans import sqlfn
 from shelflife.plans.fixture_sql import sql
-from shelflife.plans.oracle import AS_OF, VW_ADJ, VW_SALES, _active_batches_cte, _band
+from shelflife.plans.oracle import (CELLS, ENRICHED_SALES, LOSS, MONTH, RECEIVED, STOCK, band, count,
+                                    margin, money, of, open_lots)
 
 # The fixture's product categories (columns of the heatmap).
 FIXTURE_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
-REV = "quantity_sold * selling_price_per_unit"
-LOSS = "quantity_adjusted * base_cost"
-AREV = "sm.quantity_from_batch * se.selling_price_per_unit"
-ACOST = "sm.quantity_from_batch * sm.unit_cost_at_sale"
-ALLOC_FROM = "vw_sales_enriched se JOIN fact_sale_batch_map sm ON se.sale_id = sm.sale_id"
 
-# Receipts kept by the enriched receipts view without the supplier join.
-VW_RECEIPTS_PW = """rcp AS (
-  SELECT gr.* FROM fact_goods_receipts gr
-  JOIN dim_products p ON gr.product_id = p.product_id
-  JOIN dim_warehouses w ON gr.warehouse_id = w.warehouse_id)"""
-
-
-def _margin_select(rev: str, cost: str) -> str:
-    return (f"CAST(SUM({rev}) AS DECIMAL(18,2)) AS total_revenue, "
-            f"CAST(SUM({cost}) AS DECIMAL(18,2)) AS total_cost, "
-            f"CAST(SUM({rev}) - SUM({cost}) AS DECIMAL(18,2)) AS gross_margin, "
-            + sqlfn.pct(f"SUM({rev}) - SUM({cost})", f"SUM({rev})", num_scale=4, den_scale=2)
-            + " AS gross_margin_percent")
+def roll(kind: str, keys: str, *measures: str) -> str:
+    return sql(f"SELECT {', '.join([keys, *measures])} FROM cells WHERE kind = '{kind}' GROUP BY ALL", CELLS)
 
 
 def oracle_marts() -> dict[str, str]:
-    q: dict[str, str] = {}
-    q["kpi_executive"] = sql(f"""
-SELECT r.total_revenue, l.total_expiry_loss, s.total_stockout_events,
-       {sqlfn.pct('l.total_expiry_loss', 'r.total_revenue', num_scale=2, den_scale=2)} AS expiry_loss_percent_of_revenue,
-       {sqlfn.pct('m.arev - m.acost', 'm.arev', num_scale=4, den_scale=2)} AS gross_margin_percent
-FROM (SELECT CAST(SUM({REV}) AS DECIMAL(18,2)) AS total_revenue FROM vw_sales_enriched) r,
-     (SELECT CAST(SUM({LOSS}) AS DECIMAL(18,2)) AS total_expiry_loss
-      FROM vw_inventory_adjustments_enriched WHERE adjustment_type = 'Expiry') l,
-     (SELECT COUNT(*) AS total_stockout_events FROM fact_stockout_events) s,
-     (SELECT SUM({AREV}) AS arev, SUM({ACOST}) AS acost FROM {ALLOC_FROM}) m""", VW_SALES, VW_ADJ)
-    q["revenue_by_month"] = sql(f"""
-SELECT CAST(month(sale_date) AS INTEGER) AS sale_month, CAST(SUM({REV}) AS DECIMAL(18,2)) AS total_revenue
-FROM vw_sales_enriched GROUP BY month(sale_date)""", VW_SALES)
-    q["revenue_by_category"] = sql(f"""
-SELECT category, CAST(SUM({REV}) AS DECIMAL(18,2)) AS total_revenue
-FROM vw_sales_enriched GROUP BY category""", VW_SALES)
-    q["revenue_vs_expiry_by_warehouse"] = sql(f"""
-SELECT r.warehouse_id, r.warehouse_name, r.total_revenue,
-       COALESCE(l.loss, CAST(0 AS DECIMAL(18,2))) AS total_expiry_loss
-FROM (SELECT warehouse_id, warehouse_name, CAST(SUM({REV}) AS DECIMAL(18,2)) AS total_revenue
-      FROM vw_sales_enriched GROUP BY warehouse_id, warehouse_name) r
-LEFT JOIN (SELECT warehouse_id, CAST(SUM({LOSS}) AS DECIMAL(18,2)) AS loss
-           FROM vw_inventory_adjustments_enriched WHERE adjustment_type = 'Expiry'
-           GROUP BY warehouse_id) l ON r.warehouse_id = l.warehouse_id""", VW_SALES, VW_ADJ)
-    q["expiry_loss_by_month"] = sql(f"""
-SELECT CAST(month(adjustment_date) AS INTEGER) AS adjustment_month,
-       CAST(SUM(quantity_adjusted) AS BIGINT) AS total_units_expired,
-       CAST(SUM({LOSS}) AS DECIMAL(18,2)) AS total_expiry_loss
-FROM vw_inventory_adjustments_enriched WHERE adjustment_type = 'Expiry'
-GROUP BY month(adjustment_date)""", VW_ADJ)
-    q["kpi_stockout"] = sql("""
-SELECT COUNT(*) AS total_stockout_events, CAST(SUM(shortfall) AS BIGINT) AS total_units_short
-FROM fact_stockout_events""")
-    q["stockouts_by_month"] = sql("""
-SELECT CAST(month(stockout_date) AS INTEGER) AS stockout_month, COUNT(*) AS total_stockout_events,
-       CAST(SUM(shortfall) AS BIGINT) AS total_units_short
-FROM fact_stockout_events GROUP BY month(stockout_date)""")
-    cells = ", ".join(
-        f"CAST(COUNT(*) FILTER (WHERE p.category = '{c}') AS BIGINT) AS \"{c}\"" for c in FIXTURE_CATEGORIES)
-    q["stockout_heatmap"] = sql(f"""
-SELECT w.warehouse_name, {cells}
-FROM fact_stockout_events so JOIN dim_products p ON so.product_id = p.product_id
-JOIN dim_warehouses w ON so.warehouse_id = w.warehouse_id
-GROUP BY w.warehouse_name""")
-    q["stockout_rate_by_category"] = sql(f"""
-SELECT so.category, so.n AS total_stockout_events, sa.n AS total_sales_events,
-       {sqlfn.pct('so.n', 'sa.n', num_scale=0, den_scale=0)} AS stockout_rate_percent
-FROM (SELECT p.category, COUNT(*) AS n FROM fact_stockout_events x
-      JOIN dim_products p ON x.product_id = p.product_id
-      JOIN dim_warehouses w ON x.warehouse_id = w.warehouse_id GROUP BY p.category) so
-JOIN (SELECT category, COUNT(*) AS n FROM vw_sales_enriched GROUP BY category) sa
-  ON so.category = sa.category""", VW_SALES)
-    q["purchase_price_by_month"] = sql(f"""
-SELECT CAST(month(receipt_date) AS INTEGER) AS receipt_month, COUNT(*) AS total_batches,
-       {sqlfn.avg('purchase_price_per_unit', 4)} AS avg_cost_per_unit
-FROM rcp GROUP BY month(receipt_date)""", VW_RECEIPTS_PW)
-    q["supplier_reliability_vs_price"] = sql(f"""
-SELECT s.supplier_id, s.supplier_name, s.reliability_score,
-       {sqlfn.avg('r.purchase_price_per_unit', 4)} AS avg_cost_per_unit
-FROM rcp r JOIN dim_suppliers s ON r.supplier_id = s.supplier_id
-GROUP BY s.supplier_id, s.supplier_name, s.reliability_score""", VW_RECEIPTS_PW)
-    q["batch_volume_by_supplier"] = sql("""
-SELECT s.supplier_id, s.supplier_name, COUNT(DISTINCT r.batch_id) AS total_batches_received,
-       CAST(SUM(r.quantity_received) AS BIGINT) AS total_units_received
-FROM rcp r JOIN dim_suppliers s ON r.supplier_id = s.supplier_id
-GROUP BY s.supplier_id, s.supplier_name""", VW_RECEIPTS_PW)
-    q["margin_by_month"] = sql(f"""
-SELECT CAST(month(se.sale_date) AS INTEGER) AS sale_month, {_margin_select(AREV, ACOST)}
-FROM {ALLOC_FROM} GROUP BY month(se.sale_date)""", VW_SALES)
-    q["margin_by_category"] = sql(f"""
-SELECT se.category, {_margin_select(AREV, ACOST)}
-FROM {ALLOC_FROM} GROUP BY se.category""", VW_SALES)
+    sales, waste = of("S", "sum(money)"), of("X", LOSS)
+    left = f"{of('B', 'sum(money)')} - {of('B', 'sum(spent)')}"
     heat = ", ".join(
-        sqlfn.pct(f"SUM({AREV}) FILTER (WHERE month(se.sale_date) = {m}) - "
-                  f"SUM({ACOST}) FILTER (WHERE month(se.sale_date) = {m})",
-                  f"SUM({AREV}) FILTER (WHERE month(se.sale_date) = {m})", num_scale=4, den_scale=2)
-        + f" AS m{m}" for m in range(1, 13))
-    q["margin_heatmap"] = sql(f"""
-SELECT se.category, {heat} FROM {ALLOC_FROM} GROUP BY se.category""", VW_SALES)
-    q["margin_by_quarter"] = sql(f"""
-SELECT se.category, CAST(quarter(se.sale_date) AS INTEGER) AS sale_quarter, {_margin_select(AREV, ACOST)}
-FROM {ALLOC_FROM} GROUP BY se.category, quarter(se.sale_date)""", VW_SALES)
-    days = f"datediff('day', {AS_OF}, ab.expiry_date)"
+        sqlfn.pct(f"sum(money - spent) FILTER (m = {m})", f"sum(money) FILTER (m = {m})",
+                  num_scale=4, den_scale=2) + f" AS m{m}" for m in range(1, 13))
+    listed = ", ".join(f"'{c}'" for c in FIXTURE_CATEGORIES)
+    columns = [count(f"coalesce(sum(n) FILTER (category = '{c}'), 0)", f'"{c}"') for c in FIXTURE_CATEGORIES]
+    columns += [count(f"coalesce(sum(n) FILTER (category IS NULL OR category NOT IN ({listed})), 0)", "other"),
+                count("sum(n)", "total")]
     aging = f"""aging AS (
-  SELECT ab.*, p.category, w.warehouse_name, {_band(days)} AS age_band
-  FROM active_batches ab JOIN dim_products p ON ab.product_id = p.product_id
-  JOIN dim_warehouses w ON ab.warehouse_id = w.warehouse_id)"""
-    q["aging_by_band"] = sql("""
-SELECT age_band, COUNT(*) AS total_batches, CAST(SUM(current_stock) AS BIGINT) AS total_units_at_risk,
-       CAST(SUM(current_stock * purchase_price_per_unit) AS DECIMAL(18,2)) AS estimated_stock_value
-FROM aging GROUP BY age_band""", *_active_batches_cte(AS_OF, False), aging)
-    q["at_risk_by_warehouse_category"] = sql("""
-SELECT warehouse_name, category, COUNT(*) AS total_batches,
-       CAST(SUM(current_stock) AS BIGINT) AS total_units_at_risk,
-       CAST(SUM(current_stock * purchase_price_per_unit) AS DECIMAL(18,2)) AS estimated_stock_value
-FROM aging WHERE age_band IN ('Critical', 'Near Expiry')
-GROUP BY warehouse_name, category""", *_active_batches_cte(AS_OF, False), aging)
-    q["table_preview"] = sql("SELECT * FROM vw_sales_enriched ORDER BY sale_id LIMIT 10", VW_SALES)
-    return q
+  SELECT open_lot.*, category, warehouse_name, {band('days_until_expiry')} AS age_band
+  FROM open_lot JOIN dim_products USING (product_id) JOIN dim_warehouses USING (warehouse_id))"""
+    return {
+        "kpi_executive": sql(f"""
+SELECT {money(sales, 'total_revenue')}, {money(waste, 'total_expiry_loss')},
+       (SELECT count(*) FROM fact_stockout_events) AS total_stockout_events,
+       {sqlfn.pct(money(waste), money(sales), num_scale=2, den_scale=2)} AS expiry_loss_percent_of_revenue,
+       {sqlfn.pct(left, of('B', 'sum(money)'), num_scale=4, den_scale=2)} AS gross_margin_percent
+FROM cells""", CELLS),
+        "revenue_by_month": roll("S", MONTH, money("sum(money)", "total_revenue")),
+        "revenue_by_category": roll("S", "category", money("sum(money)", "total_revenue")),
+        "revenue_vs_expiry_by_warehouse": sql(f"""
+SELECT warehouse_id, warehouse_name, {money(sales, 'total_revenue')},
+       coalesce({money(waste)}, 0::DECIMAL(38,2)) AS total_expiry_loss
+FROM cells GROUP BY ALL HAVING count(*) FILTER (kind = 'S') > 0""", CELLS),
+        "expiry_loss_by_month": roll("X", "m::INTEGER AS adjustment_month",
+                                     count("sum(units)", "total_units_expired"),
+                                     money(LOSS, "total_expiry_loss")),
+        "kpi_stockout": sql("SELECT count(*) AS total_stockout_events, "
+                            "sum(shortfall)::BIGINT AS total_units_short FROM fact_stockout_events"),
+        "stockouts_by_month": sql("SELECT month(stockout_date)::INTEGER AS stockout_month, "
+                                  "count(*) AS total_stockout_events, "
+                                  "sum(shortfall)::BIGINT AS total_units_short "
+                                  "FROM fact_stockout_events GROUP BY ALL"),
+        "stockout_heatmap": roll("O", "warehouse_name", *columns),
+        "stockout_rate_by_category": sql(f"""
+SELECT category, {count(of('O', 'sum(n)'), 'total_stockout_events')},
+       {count(of('S', 'sum(n)'), 'total_sales_events')},
+       {sqlfn.pct(of('O', 'sum(n)'), of('S', 'sum(n)'), num_scale=0, den_scale=0)} AS stockout_rate_percent
+FROM cells GROUP BY ALL HAVING total_stockout_events > 0 AND total_sales_events > 0""", CELLS),
+        "purchase_price_by_month": sql(f"""
+SELECT month(receipt_date)::INTEGER AS receipt_month, count(*) AS total_batches,
+       {sqlfn.avg('purchase_price_per_unit', 4)} AS avg_cost_per_unit
+FROM received GROUP BY ALL""", RECEIVED),
+        "supplier_reliability_vs_price": sql(f"""
+SELECT supplier_id, supplier_name, reliability_score,
+       {sqlfn.avg('purchase_price_per_unit', 4)} AS avg_cost_per_unit
+FROM received JOIN dim_suppliers USING (supplier_id) GROUP BY ALL""", RECEIVED),
+        "batch_volume_by_supplier": sql("""
+SELECT supplier_id, supplier_name, count(DISTINCT batch_id) AS total_batches_received,
+       sum(quantity_received)::BIGINT AS total_units_received
+FROM received JOIN dim_suppliers USING (supplier_id) GROUP BY ALL""", RECEIVED),
+        "margin_by_month": sql(margin("money", MONTH), CELLS),
+        "margin_by_category": sql(margin("money", "category"), CELLS),
+        "margin_heatmap": roll("B", "category", heat),
+        "margin_by_quarter": sql(margin("money", "category", "q::INTEGER AS sale_quarter"), CELLS),
+        "aging_by_band": sql(f"SELECT age_band, {STOCK} FROM aging GROUP BY ALL", *open_lots(False), aging),
+        "at_risk_by_warehouse_category": sql(
+            f"SELECT warehouse_name, category, {STOCK} FROM aging "
+            "WHERE age_band IN ('Critical', 'Near Expiry') GROUP BY ALL", *open_lots(False), aging),
+        "table_preview": sql(f"{ENRICHED_SALES} ORDER BY sale_id LIMIT 10"),
+    }

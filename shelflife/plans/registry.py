@@ -127,6 +127,9 @@ def spark_queries() -> dict[str, Query]:
         "not_null_violations_dirty": _dirty(B.not_null_violations),
         "fk_violations_dirty": _dirty(B.fk_violations),
         "dq_summary_dirty": _dirty(E.dq_summary),
+        "dq_nonpositive_sales_dirty": _dirty(E.dq_nonpositive_sales),
+        "dq_nonpositive_batch_qty_dirty": _dirty(E.dq_nonpositive_batch_qty),
+        "dq_orphan_sales_dirty": _dirty(E.dq_orphan_sales),
         "dq_orphan_batches_dirty": _dirty(E.dq_orphan_batches),
         "dq_expiry_before_receipt_dirty": _dirty(E.dq_expiry_before_receipt),
         # A: sources and sinks

@@ -295,8 +295,8 @@ def dirty_tables(t: Tables) -> Tables:
     ``ok`` is the order key inside a sale id and ``pk`` the part key inside a
     batch id; every row of every table is still read.
     """
-    ok = F.substring("sale_id", 2, 8).cast("bigint")
-    pk = F.substring("batch_id", 2, 6).cast("bigint")
+    ok = F.substring_index(F.expr("substring(sale_id, 2)"), "-", 1).cast("bigint")
+    pk = F.substring_index(F.expr("substring(batch_id, 2)"), "-", 1).cast("bigint")
     s = t["fact_sales"]
     s = s.withColumn("quantity_sold", F.when(ok % 997 == 0, F.lit(0)).otherwise(F.col("quantity_sold")))
     s = s.withColumn("warehouse_id", F.when(ok % 997 == 4, F.lit(None).cast("string"))
