@@ -128,38 +128,55 @@ def stockout_rate(t: Tables) -> DataFrame:
 
 # ---- suppliers ---------------------------------------------------------------
 
-def _receipts_with_suppliers(t: Tables, *sup_cols: str) -> DataFrame:
-    """Receipts that the enriched receipts view keeps, with supplier attributes."""
-    r = t["fact_goods_receipts"].select(
-        "batch_id", "product_id", "warehouse_id", "supplier_id", "quantity_received",
-        "purchase_price_per_unit")
-    return (r.join(_products(t), "product_id")
-            .join(warehouses(t, "warehouse_id"), "warehouse_id")
-            .join(t["dim_suppliers"].select("supplier_id", *sup_cols), "supplier_id"))
+def receipts_reduced(t: Tables, *keys: Column | str) -> DataFrame:
+    """Receipts of known products and warehouses, reduced to (supplier, product, warehouse,
+    ``keys``) before the dimensions are tested: count, units, and price sum, max, min."""
+    p = F.col("purchase_price_per_unit")
+    r = t["fact_goods_receipts"].groupBy("supplier_id", "product_id", "warehouse_id", *keys).agg(
+        F.count(F.lit(1)).alias("receipts"), F.sum("quantity_received").alias("units"),
+        F.sum(p).alias("price_sum"), F.count(p).alias("priced"),
+        F.max(p).alias("price_max"), F.min(p).alias("price_min"))
+    return (r.join(_products(t), "product_id", "left_semi")
+            .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi"))
+
+
+def batches_per_supplier(t: Tables) -> DataFrame:
+    """(supplier, batch) pairs with a receipt of a known product and warehouse, once each.
+
+    ``batch_id`` is the key of the receipts, so this holds one row per receipt at most."""
+    r = t["fact_goods_receipts"].groupBy("supplier_id", "batch_id", "product_id", "warehouse_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    return (r.join(_products(t), "product_id", "left_semi")
+            .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi")
+            .groupBy("supplier_id", "batch_id").agg(F.sum("n").alias("n")))
+
+
+def _average_cost() -> Column:
+    return ratio_half_up(F.sum("price_sum"), F.sum("priced"), num_scale=4, den_scale=0).alias(
+        "avg_cost_per_unit")
 
 
 def supplier_delivery(t: Tables) -> DataFrame:
     """K5: distinct batches, units, average unit cost and reliability per supplier."""
-    r = _receipts_with_suppliers(t, "supplier_name", "supplier_city", "reliability_score")
-    return r.groupBy("supplier_name", "supplier_city", "reliability_score").agg(
-        F.count_distinct("batch_id").alias("total_batches_received"),
-        F.sum("quantity_received").alias("total_units_received"),
-        ratio_half_up(F.sum("purchase_price_per_unit"), F.count("purchase_price_per_unit"),
-                      num_scale=4, den_scale=0).alias("avg_cost_per_unit"),
-    ).select("supplier_name", "supplier_city", "total_batches_received",
-             "total_units_received", "avg_cost_per_unit", "reliability_score")
+    keys = ["supplier_name", "supplier_city", "reliability_score"]
+    sup = t["dim_suppliers"].select("supplier_id", *keys)
+    sums = receipts_reduced(t).join(sup, "supplier_id").groupBy(*keys).agg(
+        F.sum("units").alias("total_units_received"), _average_cost())
+    batches = batches_per_supplier(t).join(sup, "supplier_id").groupBy(*keys).agg(
+        F.count_distinct("batch_id").alias("total_batches_received"))
+    return sums.join(batches, keys).select(
+        "supplier_name", "supplier_city", "total_batches_received",
+        "total_units_received", "avg_cost_per_unit", "reliability_score")
 
 
 def supplier_cost_volatility(t: Tables) -> DataFrame:
     """K6: average, max, min and range of unit cost per supplier, with lead time."""
-    r = _receipts_with_suppliers(t, "supplier_name", "average_lead_time_days", "reliability_score")
-    c = F.col("purchase_price_per_unit")
-    return r.groupBy("supplier_name", "average_lead_time_days", "reliability_score").agg(
-        ratio_half_up(F.sum(c), F.count(c), num_scale=4, den_scale=0).alias("avg_cost_per_unit"),
-        F.max(c).cast(RATE).alias("max_cost_per_unit"),
-        F.min(c).cast(RATE).alias("min_cost_per_unit"),
-        (F.max(c) - F.min(c)).cast(RATE).alias("price_range"),
-    )
+    keys = ["supplier_name", "average_lead_time_days", "reliability_score"]
+    r = receipts_reduced(t).join(t["dim_suppliers"].select("supplier_id", *keys), "supplier_id")
+    top, low = F.max("price_max"), F.min("price_min")
+    return r.groupBy(*keys).agg(
+        _average_cost(), top.cast(RATE).alias("max_cost_per_unit"),
+        low.cast(RATE).alias("min_cost_per_unit"), (top - low).cast(RATE).alias("price_range"))
 
 
 # ---- margin ------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from shelflife.functions.dates import DEFAULT_AS_OF, as_date
 from shelflife.functions.money import pct
-from shelflife.operators.common import Tables, warehouses
+from shelflife.operators.common import Tables, union_all, warehouses
 
 # Fixed values of the model's stock rules.
 COLD_CATEGORIES = ("Milk", "Fresh Juice", "Yogurt", "Ready Meals")
@@ -54,14 +54,14 @@ def stockable_pairs(t: Tables, cold_categories=COLD_CATEGORIES) -> DataFrame:
 
     Written as an equi join: a product needs cold storage or not; a warehouse
     with cold storage serves both needs, one without serves only the ambient
-    need.  The warehouse side (bounded by the number of sites) is broadcast.
+    need.
     """
     p = t["dim_products"].select(
         "product_id", F.col("category").isin(*cold_categories).cast("int").alias("need"))
     serves = F.when(F.col("cold_storage_flag") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     w = warehouses(t, "warehouse_id", "cold_storage_flag").select(
         "warehouse_id", F.explode(serves).alias("need"))
-    return p.join(F.broadcast(w), "need").select("product_id", "warehouse_id")
+    return p.join(w, "need").select("product_id", "warehouse_id")
 
 
 # ---- M3 ---------------------------------------------------------------------------
@@ -93,7 +93,8 @@ def expected_demand(t: Tables, day=DEFAULT_AS_OF, region_factors=None, promo_boo
     """Expected units for ``day`` per (warehouse, product).
 
     base x 1.55 on Saturday/Sunday x region factor (1.0 for an unlisted
-    region) x promotion boost, rounded half to even, at least 1.
+    region) x promotion boost, rounded half to even, at least 1.  The base is made
+    from sales up to ``until``, by default the day before ``day``.
     """
     factors = REGION_DEMAND_MULTIPLIERS if region_factors is None else region_factors
     fmap = F.create_map(*[x for k, v in factors.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -103,6 +104,7 @@ def expected_demand(t: Tables, day=DEFAULT_AS_OF, region_factors=None, promo_boo
     d = d * F.coalesce(fmap[F.col("region")], F.lit(1.0))
     d = d * F.lit(float(promo_boost))
     w = warehouses(t, "warehouse_id", "region")
+    until = F.date_sub(as_date(day), 1) if until is None else until
     return base_daily_demand(t, until).join(w, "warehouse_id").select(
         "warehouse_id", "product_id", "base_daily_demand",
         F.greatest(F.lit(1), F.bround(d, 0).cast("int")).alias("expected_demand"))
@@ -134,26 +136,23 @@ def purchase_cost_variance(t: Tables) -> DataFrame:
 
 # ---- M6 / M9 ------------------------------------------------------------------------
 
-def _sold_per_batch(t: Tables, sale_filter: Column | None = None, batch_dates: DataFrame | None = None,
-                    before_expiry: bool = False) -> DataFrame:
-    b = t["fact_sale_batch_map"].select("sale_id", "batch_id", "quantity_from_batch")
-    s = t["fact_sales"].select("sale_id", "sale_date")
-    if sale_filter is not None:
-        s = s.where(sale_filter)
-    j = b.join(s, "sale_id")
-    if before_expiry:
-        j = j.join(batch_dates, "batch_id").where(F.col("sale_date") < F.col("expiry_date"))
-    return j.groupBy("batch_id").agg(F.sum("quantity_from_batch").alias("sold"))
+def _outflow(t: Tables, lots: DataFrame, until: Column) -> DataFrame:
+    """Units sold and adjusted per batch of ``lots`` where ``until`` (a condition on ``day``).
 
-
-def _adjusted_per_batch(t: Tables, adj_filter: Column | None = None, batch_dates: DataFrame | None = None,
-                        before_expiry: bool = False) -> DataFrame:
-    a = t["fact_inventory_adjustments"].select("batch_id", "adjustment_date", "quantity_adjusted")
-    if adj_filter is not None:
-        a = a.where(adj_filter)
-    if before_expiry:
-        a = a.join(batch_dates, "batch_id").where(F.col("adjustment_date") < F.col("expiry_date"))
-    return a.groupBy("batch_id").agg(F.sum("quantity_adjusted").alias("adjusted"))
+    Bridge and adjustments keep the lots in question alone (a semi-join on few keys)
+    and are reduced to (batch, day) before their dates are tested.
+    """
+    ids = lots.select("batch_id")
+    sales = t["fact_sales"].select("sale_id", F.col("sale_date").alias("day"))
+    sold = (t["fact_sale_batch_map"].select("sale_id", "batch_id", F.col("quantity_from_batch").alias("q"))
+            .join(ids, "batch_id", "left_semi").join(sales, "sale_id").select("batch_id", "day", "q"))
+    adjusted = (t["fact_inventory_adjustments"].select(
+        "batch_id", F.col("adjustment_date").alias("day"), F.col("quantity_adjusted").alias("q"))
+        .join(ids, "batch_id", "left_semi"))
+    daily = sold.unionByName(adjusted).groupBy("batch_id", "day").agg(F.sum("q").alias("q"))
+    dates = lots.select("batch_id", "expiry_date")
+    return (daily.join(dates, "batch_id").where(until)
+            .groupBy("batch_id").agg(F.sum("q").alias("out")))
 
 
 def stock_on_hand(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
@@ -164,11 +163,8 @@ def stock_on_hand(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
     """
     d = as_date(as_of)
     r = t["fact_goods_receipts"].where((F.col("receipt_date") <= d) & (F.col("expiry_date") > d))
-    sold = _sold_per_batch(t, F.col("sale_date") <= d)
-    adj = _adjusted_per_batch(t, F.col("adjustment_date") <= d)
-    left = (F.col("quantity_received") - F.coalesce(F.col("sold"), F.lit(0))
-            - F.coalesce(F.col("adjusted"), F.lit(0)))
-    return (r.join(sold, "batch_id", "left").join(adj, "batch_id", "left")
+    left = F.col("quantity_received") - F.coalesce(F.col("out"), F.lit(0))
+    return (r.join(_outflow(t, r, F.col("day") <= d), "batch_id", "left")
             .groupBy("warehouse_id", "product_id").agg(F.sum(left).alias("stock")))
 
 
@@ -179,12 +175,8 @@ def expiry_writeoffs(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
     before the expiry date; the write-off is dated on the expiry date.
     """
     r = t["fact_goods_receipts"].where(F.col("expiry_date") <= as_date(as_of))
-    dates = r.select("batch_id", "expiry_date")
-    sold = _sold_per_batch(t, batch_dates=dates, before_expiry=True)
-    adj = _adjusted_per_batch(t, batch_dates=dates, before_expiry=True)
-    left = (F.col("quantity_received") - F.coalesce(F.col("sold"), F.lit(0))
-            - F.coalesce(F.col("adjusted"), F.lit(0)))
-    return (r.join(sold, "batch_id", "left").join(adj, "batch_id", "left")
+    left = F.col("quantity_received") - F.coalesce(F.col("out"), F.lit(0))
+    return (r.join(_outflow(t, r, F.col("day") < F.col("expiry_date")), "batch_id", "left")
             .select("batch_id", "warehouse_id", "product_id",
                     F.col("expiry_date").alias("adjustment_date"),
                     F.lit("Expiry").alias("adjustment_type"),
@@ -194,23 +186,32 @@ def expiry_writeoffs(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
 
 # ---- M7 ---------------------------------------------------------------------------
 
-def reorder_candidates(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """Coverage days and the reorder decision per (warehouse, product) at ``as_of``.
+def reorder_candidates(t: Tables, as_of=DEFAULT_AS_OF, cold_categories=COLD_CATEGORIES) -> DataFrame:
+    """Coverage days and the reorder decision at ``as_of``, for every product that is on
+    sale and every warehouse that may store it.
 
-    coverage = stock / base daily demand (999 when there is no demand);
-    reorder when coverage < primary supplier lead time + 1 day.  On-hand
-    stock only (open orders are not netted), as in the model's rule.
+    coverage = stock / base daily demand (999 when there is no demand, 0 when there is
+    demand but no stock); reorder when coverage < primary supplier lead time + 1 day.
+    On-hand stock only (open orders are not netted), as in the model's rule.
     """
-    soh = stock_on_hand(t, as_of)
-    dem = base_daily_demand(t, until=as_of)
+    keys = ["warehouse_id", "product_id"]
+    pairs = stockable_pairs(t, cold_categories).join(
+        active_products(t, as_of).select("product_id"), "product_id", "left_semi")
     sup = t["dim_suppliers"].select("supplier_id", F.col("average_lead_time_days").alias("lead_time_days"))
-    j = (soh.join(dem, ["warehouse_id", "product_id"], "left")
-         .join(primary_supplier(t), "product_id").join(sup, "supplier_id"))
-    base = F.coalesce(F.col("base_daily_demand"), F.lit(0.0))
-    cover = F.when(base == 0, F.lit(NO_DEMAND_COVERAGE)).otherwise(F.col("stock") / base)
+    terms = primary_supplier(t).join(sup, "supplier_id")
+    # stock and demand are one row per pair; stacked, they meet the pairs in one exchange
+    state = union_all([
+        stock_on_hand(t, as_of).select(*keys, "stock", F.lit(None).cast("double").alias("base")),
+        base_daily_demand(t, until=as_of).select(*keys, F.lit(None).cast("bigint").alias("stock"),
+                                                 F.col("base_daily_demand").alias("base")),
+    ]).groupBy(*keys).agg(F.max("stock").alias("stock"), F.max("base").alias("base"))
+    j = pairs.join(state, keys, "left").join(terms, "product_id")
+    stock = F.coalesce("stock", F.lit(0)).cast("bigint")
+    base = F.coalesce("base", F.lit(0.0))
+    cover = F.when(base == 0, F.lit(NO_DEMAND_COVERAGE)).otherwise(stock / base)
     return j.select(
-        "warehouse_id", "product_id", "supplier_id", "stock",
-        base.alias("base_daily_demand"), cover.alias("coverage_days"), "lead_time_days",
+        *keys, "supplier_id", stock.alias("stock"), base.alias("base_daily_demand"),
+        cover.alias("coverage_days"), "lead_time_days",
         (cover < F.col("lead_time_days") + REORDER_BUFFER_DAYS).cast("int").alias("reorder"))
 
 
@@ -259,8 +260,6 @@ def stockout_days(t: Tables) -> DataFrame:
 
 
 
-
-
 # ---- S9-S18: scalar rules in one projection ----------------------------------------
 
 def scalar_derivations(t: Tables, max_units: int = 40) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflife.functions.dates import DEFAULT_AS_OF
-from shelflife.functions.money import MONEY, avg_half_up, pct, ratio_half_up
+from shelflife.functions.money import MONEY, pct, ratio_half_up
+from shelflife.operators.analytics import receipts_reduced, batches_per_supplier
 from shelflife.operators.common import Tables, expiry_rows, union_all, warehouses
 from shelflife.operators.staging import inventory_aging
 
@@ -182,37 +183,33 @@ def stockout_rate_by_category(t: Tables) -> DataFrame:
 
 # ---- page 4: suppliers -------------------------------------------------------------
 
-def _receipts(t: Tables) -> DataFrame:
-    r = t["fact_goods_receipts"]
-    return (r.join(_products(t), "product_id")
-            .join(warehouses(t, "warehouse_id"), "warehouse_id"))
-
-
 def purchase_price_by_month(t: Tables, by_year: bool = False) -> DataFrame:
     """Average purchase price per unit per receipt month."""
     p = _period("receipt_date", "receipt_month", "month", by_year)
-    return _receipts(t).groupBy(*p).agg(
-        F.count(F.lit(1)).alias("total_batches"),
-        avg_half_up(F.col("purchase_price_per_unit"), 4).alias("avg_cost_per_unit"))
+    keys = (["receipt_year"] if by_year else []) + ["receipt_month"]
+    return receipts_reduced(t, *p).groupBy(*keys).agg(
+        F.sum("receipts").alias("total_batches"),
+        ratio_half_up(F.sum("price_sum"), F.sum("priced"), num_scale=4, den_scale=0)
+        .alias("avg_cost_per_unit"))
 
 
 def supplier_reliability_vs_price(t: Tables) -> DataFrame:
     """Reliability score and average unit price per supplier."""
     s = t["dim_suppliers"].select("supplier_id", "supplier_name", "reliability_score")
-    per = _receipts(t).groupBy("supplier_id").agg(
-        F.sum("purchase_price_per_unit").alias("ps"), F.count("purchase_price_per_unit").alias("pn"))
+    per = receipts_reduced(t).groupBy("supplier_id").agg(
+        ratio_half_up(F.sum("price_sum"), F.sum("priced"), num_scale=4, den_scale=0)
+        .alias("avg_cost_per_unit"))
     return per.join(s, "supplier_id").select(
-        "supplier_id", "supplier_name", "reliability_score",
-        ratio_half_up(F.col("ps"), F.col("pn"), num_scale=4, den_scale=0).alias("avg_cost_per_unit"))
+        "supplier_id", "supplier_name", "reliability_score", "avg_cost_per_unit")
 
 
 def batch_volume_by_supplier(t: Tables) -> DataFrame:
     """Distinct batches and units received per supplier."""
     s = t["dim_suppliers"].select("supplier_id", "supplier_name")
-    per = _receipts(t).groupBy("supplier_id").agg(
-        F.count_distinct("batch_id").alias("total_batches_received"),
-        F.sum("quantity_received").alias("total_units_received"))
-    return per.join(s, "supplier_id").select(
+    units = receipts_reduced(t).groupBy("supplier_id").agg(F.sum("units").alias("total_units_received"))
+    batches = batches_per_supplier(t).groupBy("supplier_id").agg(
+        F.count(F.lit(1)).alias("total_batches_received"))
+    return units.join(batches, "supplier_id").join(s, "supplier_id").select(
         "supplier_id", "supplier_name", "total_batches_received", "total_units_received")
 
 

@@ -93,6 +93,12 @@ ROW_COUNTS_BODY = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in TABLE_NAMES)
 
 
+def _text(table: str) -> str:
+    """All columns of a row as one text."""
+    return "concat_ws('|', " + ", ".join(
+        f"coalesce({f.name}::VARCHAR, '')" for f in SCHEMAS[table].fields) + ")"
+
+
 def oracle_checks() -> dict[str, str]:
     q = {
         "pk_violations": sql(pk_sql(clean)),
@@ -105,8 +111,11 @@ def oracle_checks() -> dict[str, str]:
         "fk_violations_dirty": sql(fk_sql(dirty), *DIRTY_CTES),
         "dq_summary_dirty": sql(dq_summary_sql(dirty), *DIRTY_CTES),
         # file round trips: the data must come back unchanged
-        "csv_sink": sql("SELECT * FROM fact_sales"),
-        "csv_scan": sql("SELECT * FROM fact_goods_receipts"),
+        "csv_sink": sql(" UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, count(*) AS row_count, count(DISTINCT {_text(n)}) AS distinct_rows "
+            f"FROM {n}" for n in TABLE_NAMES)),
+        "csv_scan": sql(" UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, {_text(n)} AS row_text FROM {n}" for n in TABLE_NAMES)),
         "file_row_counts": sql(
             "SELECT table_name AS file_name, row_count, 'OK' AS status FROM rc "
             "UNION ALL SELECT 'TOTAL ROWS', CAST(SUM(row_count) AS BIGINT), 'OK' FROM rc",

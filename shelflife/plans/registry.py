@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelflife.operators import allocation as M10
 from shelflife.operators import analytics as K
@@ -20,6 +21,8 @@ from shelflife.operators import integrity as B
 from shelflife.operators import marts as L
 from shelflife.operators import quality as E
 from shelflife.operators import staging as J
+from shelflife.operators.common import union_all
+from shelflife.schemas import SCHEMAS, TABLE_NAMES
 from shelflife.sources import files as A
 from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, staged_tables
 
@@ -27,6 +30,8 @@ from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, staged_tables
 # the ones treated as needing cold storage (every category but STANDARD).
 FIXTURE_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 FIXTURE_COLD = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL")
+# Demand factors of the fixture's regions (others: 1.0).
+FIXTURE_REGION_FACTORS = {"AFRICA": 1.10, "ASIA": 0.90, "EUROPE": 1.20}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,18 +56,36 @@ AS_OF = {"as_of": FIXTURE_AS_OF}
 
 # ---- sources and sinks: round trips through files in the shared scratch folder --
 
+def _all_rows(t) -> DataFrame:
+    """Every row of all nine tables as (table_name, row_text): values joined as text."""
+    def text(n: str) -> DataFrame:
+        cols = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in SCHEMAS[n].fields]
+        return t[n].select(F.lit(n).alias("table_name"), F.concat_ws("|", *cols).alias("row_text"))
+    return union_all([text(n) for n in TABLE_NAMES])
+
+
 def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write fact_sales as headered CSV, read it back with the declared schema."""
-    path = A.scratch_path(spark, "csv-sink") + "/fact_sales"
-    A.save_csv(staged_tables(spark, sf_dir)["fact_sales"], path)
-    return A.read_csv_table(spark, path, "fact_sales")
+    """Write all nine tables as headered CSV; rows, bytes-independent checks per table from the files.
+
+    Per table: data rows and distinct whole lines, read back as plain text.
+    """
+    folder = A.scratch_path(spark, "csv-sink")
+    A.export_csv(staged_tables(spark, sf_dir), folder)
+    out = []
+    for n in TABLE_NAMES:
+        lines = spark.read.option("header", True).schema("line string").option("sep", "\x01").csv(
+            f"{folder}/{n}")
+        out.append(lines.agg(F.count(F.lit(1)).alias("row_count"),
+                             F.count_distinct("line").alias("distinct_rows"))
+                   .select(F.lit(n).alias("table_name"), "row_count", "distinct_rows"))
+    return union_all(out)
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load the receipts extract (dates, 4- and 2-digit decimals) through the CSV reader."""
+    """Load all nine extracts through the CSV reader (dates, flags, 4- and 2-digit decimals)."""
     folder = A.scratch_path(spark, "csv-scan")
-    A.export_csv(staged_tables(spark, sf_dir), folder, ["fact_goods_receipts"])
-    return A.load_csv(spark, folder, ["fact_goods_receipts"])["fact_goods_receipts"]
+    A.export_csv(staged_tables(spark, sf_dir), folder)
+    return _all_rows(A.load_csv(spark, folder))
 
 
 def file_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +98,8 @@ def file_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish a validated new version of all nine tables; report its row counts."""
     root = A.scratch_path(spark, "store")
-    published = A.full_refresh(spark, staged_tables(spark, sf_dir), root)
-    return B.post_load_counts(published)
+    A.full_refresh(spark, staged_tables(spark, sf_dir), root)
+    return B.post_load_counts(A.load_current(spark, root))
 
 
 def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,10 +184,11 @@ def spark_queries() -> dict[str, Query]:
         "primary_supplier": _q(M.primary_supplier),
         "stockable_pairs": _q(M.stockable_pairs, cold_categories=FIXTURE_COLD),
         "active_products": _q(M.active_products, **AS_OF),
-        "expected_demand": _q(M.expected_demand, day=FIXTURE_AS_OF),
+        "expected_demand": _q(M.expected_demand, day=FIXTURE_AS_OF,
+                              region_factors=FIXTURE_REGION_FACTORS, promo_boost=1.5),
         "purchase_cost_variance": _q(M.purchase_cost_variance),
         "stock_on_hand": _q(M.stock_on_hand, **AS_OF),
-        "reorder_candidates": _q(M.reorder_candidates, **AS_OF),
+        "reorder_candidates": _q(M.reorder_candidates, cold_categories=FIXTURE_COLD, **AS_OF),
         "inventory_ledger": _q(M.inventory_ledger),
         "expiry_writeoffs": _q(M.expiry_writeoffs, **AS_OF),
         "batch_allocation": _q(M10.batch_allocation),

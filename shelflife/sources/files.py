@@ -92,7 +92,9 @@ def file_row_counts(spark: SparkSession, folder: str,
         try:
             df = read_csv_table(spark, f"{folder}/{n}", n)
             df.schema  # noqa: B018 - resolves the path
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             frames.append(spark.range(1).select(
                 F.lit(n).alias("file_name"), F.lit(None).cast("bigint").alias("row_count"),
                 F.lit(NOT_FOUND).alias("status")))
@@ -110,46 +112,74 @@ def file_row_counts(spark: SparkSession, folder: str,
 # ---- full refresh -------------------------------------------------------------
 
 class RefreshFailed(RuntimeError):
-    pass
+    """A load that breaks a constraint; ``problems`` lists every broken one."""
+
+    def __init__(self, problems: list[str]):
+        super().__init__("constraint violations: " + "; ".join(problems))
+        self.problems = problems
+
+
+def violations(t: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per broken constraint (B1, B2, B3, B5): ``problem, rows``."""
+    from shelflife.operators.integrity import (domain_violations, fk_violations,
+                                               not_null_violations, pk_violations)
+
+    def named(df: DataFrame, kind: str, n: str, *names: str) -> DataFrame:
+        return df.where(F.col(n) > 0).select(
+            F.concat_ws(" ", F.lit(kind), *names).alias("problem"), F.col(n).alias("rows"))
+
+    return union_all([
+        named(pk_violations(t), "duplicate key", "duplicate_keys", "table_name", "key_columns"),
+        named(not_null_violations(t), "null", "violations", "table_name", "column_name"),
+        named(fk_violations(t), "orphan", "orphans", "child", "fk_column"),
+        named(domain_violations(t), "domain", "violations", "table_name", "column_name")])
 
 
 def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_root: str,
-                 validate: bool = True) -> Tables:
+                 validate: bool = True, keep: int = 2) -> Tables:
     """Replace all nine tables with a new extract, validate, then publish.
 
-    The new version is written to its own folder under ``target_root``; the
-    key and foreign-key checks run on what was written; only if they pass is
-    a row naming it appended to the ``_published`` log.  Readers take the
-    latest row, so they never see a half-loaded or invalid version, and the
-    publish step (a new file in an append-only log) never leaves a moment
-    without a valid pointer.  Returns the published tables.
+    The new version is written to its own folder under ``target_root``; keys, NOT
+    NULL, foreign keys and column domains are checked on what was written, and only
+    if all hold is a row naming the version appended to the ``_published`` log.
+    Readers take the latest row, so they never see a half-loaded or invalid version,
+    and the publish step (a new file in an append-only log) never leaves a moment
+    without a valid pointer.  A rejected version is removed; of the published ones
+    the latest ``keep`` stay.  Returns the published tables.
     """
     import time
 
-    from shelflife.operators.integrity import fk_violations, pk_violations
-
     root = target_root.rstrip("/")
     version = f"{root}/v-{uuid.uuid4().hex[:12]}"
     save_parquet(source, version)
-    loaded = load_parquet(spark, version)
     if validate:
-        bad_pk = pk_violations(loaded).where(F.col("duplicate_keys") > 0)
-        bad_fk = fk_violations(loaded).where(F.col("orphans") > 0)
-        problems = bad_pk.select(F.concat_ws(" ", "table_name", "key_columns").alias("p")).unionByName(
-            bad_fk.select(F.concat_ws(" ", "child", "fk_column").alias("p"))).limit(20).collect()
-        if problems:
-            raise RefreshFailed("constraint violations: " + "; ".join(r.p for r in problems))
+        # at most one row per constraint
+        found = violations(load_parquet(spark, version)).orderBy("problem").collect()
+        if found:
+            _remove(spark, version)
+            raise RefreshFailed([f"{r.problem} ({r.rows})" for r in found])
     entry = spark.createDataFrame([(version, time.time_ns())], "version string, published_ns long")
     entry.coalesce(1).write.mode("append").json(f"{root}/_published")
-    return loaded
+    for old in _published(spark, root).offset(keep).collect():
+        _remove(spark, old.version)
+    return load_current(spark, root)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    """The publish log, latest first: one row per refresh."""
+    log = spark.read.schema("version string, published_ns long").json(f"{root}/_published")
+    return log.orderBy(F.desc("published_ns"))
 
 
 def load_current(spark: SparkSession, target_root: str) -> Tables:
     """The tables of the version most recently published by :func:`full_refresh`."""
     root = target_root.rstrip("/")
-    log = spark.read.schema("version string, published_ns long").json(f"{root}/_published")
-    version = log.orderBy(F.desc("published_ns")).first()["version"]
-    return load_parquet(spark, version)
+    return load_parquet(spark, _published(spark, root).first()["version"])
 
 
 def table_preview(df: DataFrame, order_by: list[str], n: int = 10,
