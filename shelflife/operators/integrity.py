@@ -47,19 +47,25 @@ def not_null_violations(t: Tables) -> DataFrame:
 def fk_violations(t: Tables) -> DataFrame:
     """Per foreign key, the child rows whose parent key does not exist (NULL keys excluded).
 
-    Child rows are first counted per key value (map-side combined), so the
-    anti join moves one row per distinct key; a key held by a third of the
-    child rows costs one row, not a third of the data in one join task.
+    Each child is read once: its rows are counted per tuple of its foreign keys (map-side
+    combined, so a hot key costs one row), the tuples are joined to the keys of each
+    parent, and the orphans of all its keys come out of one aggregate.
     """
     frames = []
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        keys = t[parent].select(F.col(pcol).alias(col)).distinct()
-        per_key = (t[child].select(col).where(F.col(col).isNotNull())
-                   .groupBy(col).agg(F.count(F.lit(1)).alias("n")))
-        orphans = per_key.join(keys, col, "left_anti")
-        frames.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans")).select(
-            F.lit(child).alias("child"), F.lit(col).alias("fk_column"),
-            F.lit(parent).alias("parent"), "orphans"))
+    for child in dict.fromkeys(c for c, *_ in FOREIGN_KEYS):
+        own = [(col, parent, pcol) for c, col, parent, pcol in FOREIGN_KEYS if c == child]
+        rows = t[child].groupBy(*dict.fromkeys(col for col, *_ in own)).agg(F.count(F.lit(1)).alias("n"))
+        sums, names = [], []
+        for i, (col, parent, pcol) in enumerate(own):
+            keys = t[parent].select(F.col(pcol).alias(f"_k{i}")).distinct()
+            rows = rows.join(keys, F.col(col) == F.col(f"_k{i}"), "left")
+            lost = F.col(col).isNotNull() & F.col(f"_k{i}").isNull()
+            sums.append(F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).cast("bigint").alias(f"o{i}"))
+            names += [F.lit(f"o{i}"), F.struct(F.lit(col).alias("fk_column"), F.lit(parent).alias("parent"))]
+        fk = F.create_map(*names)[F.col("o")]
+        frames.append(rows.agg(*sums).unpivot([], [f"o{i}" for i in range(len(own))], "o", "orphans")
+                      .select(F.lit(child).alias("child"), fk["fk_column"].alias("fk_column"),
+                              fk["parent"].alias("parent"), "orphans"))
     return union_all(frames)
 
 

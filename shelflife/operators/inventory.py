@@ -255,9 +255,13 @@ def stockout_detection(demand: DataFrame) -> DataFrame:
 
 
 def stockout_days(t: Tables) -> DataFrame:
-    """M11 over the recorded stock-out events as the demand input."""
-    return stockout_detection(t["fact_stockout_events"])
-
+    """M11 over all recorded demand: stock-out events, and sales as demand that was served."""
+    k = ["stockout_date", "warehouse_id", "product_id"]
+    served = t["fact_sales"].select(
+        F.col("sale_date").alias("stockout_date"), "warehouse_id", "product_id",
+        F.col("quantity_sold").alias("quantity_demanded"), F.col("quantity_sold").alias("quantity_supplied"))
+    return stockout_detection(served.unionByName(
+        t["fact_stockout_events"].select(*k, "quantity_demanded", "quantity_supplied")))
 
 
 # ---- S9-S18: scalar rules in one projection ----------------------------------------
@@ -271,14 +275,14 @@ def scalar_derivations(t: Tables, max_units: int = 40) -> DataFrame:
     number, ISO date text and the promotion flag.
 
     The transaction number counts sales inside (warehouse, day) in sale-id
-    order.  It is a running count computed in two levels (see
-    :mod:`shelflife.operators.running`) with a sale-id prefix as the chunk —
-    a prefix keeps string order — so a busy warehouse-day is never one task.
+    order; the running count is made in two levels (see
+    :mod:`shelflife.operators.running`), so a busy warehouse-day is never one task.
     """
     from shelflife.functions import scalar as S
-    from shelflife.operators.running import running_interval
-    s = t["fact_sales"].withColumn("_one", F.lit(1)).withColumn("_pfx", F.substring("sale_id", 1, 6))
-    s = running_interval(s, ["warehouse_id", "sale_date"], "_pfx", ["sale_id"], "_one", "_lo", "_seq")
+    from shelflife.operators.running import running_total
+    s = t["fact_sales"].select("sale_id", "warehouse_id", "sale_date", "product_id", "quantity_sold",
+                               "selling_price_per_unit", "discount_percent", F.lit(1).alias("_one"))
+    s = running_total(s, ["warehouse_id", "sale_date"], ["sale_id"], "_one", "_seq")
     p = t["dim_products"].select("product_id", "product_name", "shelf_life_days")
     net = F.col("selling_price_per_unit") * (F.lit(1) - F.col("discount_percent"))
     return s.join(p, "product_id").select(

@@ -44,6 +44,7 @@ FIXTURE_CTES = [
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_discount,
          CAST(o.o_orderdate AS DATE) AS sd, n.n_regionkey AS rk,
          CAST(l.l_quantity AS INTEGER) AS q, l.l_linenumber % 2 AS lot,
+         CAST(floor(CAST(l.l_quantity AS INTEGER) * CAST(l.l_tax AS DECIMAL(5,2))) AS INTEGER) AS unmet,
          row_number() OVER (PARTITION BY l.l_orderkey, l.l_linenumber
                             ORDER BY l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
                                      l.l_discount, l.l_tax, l.l_shipdate, l.l_returnflag, l.l_linestatus) AS rn
@@ -112,10 +113,8 @@ FIXTURE_CTES = [
   SELECT printf('SO%08d-%d-%d', l_orderkey, l_linenumber, rn) AS stockout_id,
          sd AS stockout_date, printf('W%03d', rk + 1) AS warehouse_id,
          printf('P%06d', l_partkey) AS product_id,
-         CAST(q + 1 + l_partkey % 5 AS INTEGER) AS quantity_demanded,
-         q AS quantity_supplied,
-         CAST(1 + l_partkey % 5 AS INTEGER) AS shortfall
-  FROM line WHERE l_orderkey % 18 = 0)""",
+         q + unmet AS quantity_demanded, q AS quantity_supplied, unmet AS shortfall
+  FROM line WHERE unmet > 0)""",
 ]
 
 # dim_products carries p_partkey for the joins above; queries select named columns.
@@ -147,7 +146,11 @@ DIRTY_CTES = [
     """d_fact_goods_receipts AS (
   SELECT receipt_id, batch_id, product_id, supplier_id, warehouse_id, receipt_date, manufacture_date,
          CASE WHEN CAST(split_part(substr(batch_id, 2), '-', 1) AS BIGINT) % 97 = 0 THEN receipt_date ELSE expiry_date END AS expiry_date,
-         quantity_received, purchase_price_per_unit, total_batch_cost
+         quantity_received,
+         CAST(CASE WHEN CAST(split_part(substr(batch_id, 2), '-', 1) AS BIGINT) % 97 = 5
+                   THEN purchase_price_per_unit * CAST(1.20 AS DECIMAL(3,2))
+                   ELSE purchase_price_per_unit END AS DECIMAL(10,4)) AS purchase_price_per_unit,
+         total_batch_cost
   FROM fact_goods_receipts)""",
     """d_fact_sale_batch_map AS (
   SELECT CASE WHEN CAST(split_part(substr(sale_id, 2), '-', 1) AS BIGINT) % 997 = 2 THEN sale_id || 'X' ELSE sale_id END AS sale_id,
@@ -157,3 +160,16 @@ DIRTY_CTES = [
   FROM fact_sale_batch_map)""",
 ]
 DIRTY_TABLES = ("fact_sales", "fact_goods_receipts", "fact_sale_batch_map")
+
+# The tables of odd_tables, as CTEs named o_<table>.
+ODD_CTES = [
+    """o_dim_products AS (
+  SELECT * REPLACE (CASE WHEN p_partkey % 97 = 7 THEN repeat('x', 500) ELSE status END AS status)
+  FROM dim_products)""",
+    """o_fact_goods_receipts AS (
+  SELECT * REPLACE (CASE CAST(split_part(substr(batch_id, 2), '-', 1) AS BIGINT) % 97
+                      WHEN 5 THEN '123456789012345.678' WHEN 6 THEN 'n/a'
+                      ELSE total_batch_cost::VARCHAR END AS total_batch_cost)
+  FROM fact_goods_receipts)""",
+]
+ODD_TABLES = ("dim_products", "fact_goods_receipts")

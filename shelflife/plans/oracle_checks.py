@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from shelflife.plans.fixture_sql import DIRTY_CTES, DIRTY_TABLES, sql
+from shelflife.plans.fixture_sql import DIRTY_CTES, DIRTY_TABLES, ODD_CTES, ODD_TABLES, sql
 from shelflife.schemas import (FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS, TABLE_NAMES, UNIQUE_KEYS,
                                VARCHAR_WIDTHS, decimal_columns)
 
@@ -19,6 +19,10 @@ def dirty(name: str) -> str:
     return f"d_{name}" if name in DIRTY_TABLES else name
 
 
+def odd(name: str) -> str:
+    return f"o_{name}" if name in ODD_TABLES else name
+
+
 def pk_sql(src: Src) -> str:
     checks = list(PRIMARY_KEYS.items()) + list(UNIQUE_KEYS.items())
     return "\nUNION ALL\n".join(
@@ -55,7 +59,7 @@ def domain_sql(src: Src) -> str:
         for c, p, s in decimal_columns(n):
             fit = f"TRY_CAST({c} AS DECIMAL({p},{s}))"
             parts.append(f"SELECT '{n}' AS table_name, '{c}' AS column_name, "
-                         f"(SELECT COUNT(*) FILTER (WHERE {c} IS NOT NULL AND ({fit} IS NULL OR {fit} <> {c})) "
+                         f"(SELECT COUNT(*) FILTER (WHERE {c} IS NOT NULL AND ({fit} IS NULL OR {fit} <> TRY_CAST({c} AS DECIMAL(38,18)))) "
                          f"FROM {src(n)}) AS violations")
     return "\nUNION ALL\n".join(parts)
 
@@ -105,6 +109,7 @@ def oracle_checks() -> dict[str, str]:
         "not_null_violations": sql(not_null_sql(clean)),
         "fk_violations": sql(fk_sql(clean)),
         "domain_violations": sql(domain_sql(clean)),
+        "domain_violations_dirty": sql(domain_sql(odd), *ODD_CTES),
         "post_load_counts": sql(ROW_COUNTS_BODY),
         "pk_violations_dirty": sql(pk_sql(dirty), *DIRTY_CTES),
         "not_null_violations_dirty": sql(not_null_sql(dirty), *DIRTY_CTES),

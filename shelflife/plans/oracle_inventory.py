@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from shelflife.plans import sqlfn
-from shelflife.plans.fixture_sql import PRODUCT_COLUMNS, sql
+from shelflife.plans.fixture_sql import DIRTY_CTES, PRODUCT_COLUMNS, sql
 from shelflife.plans.oracle import AS_OF
 
 # Fixture parameters of the stock operators.
@@ -75,6 +75,9 @@ SELECT batch_id, standard_cost, purchase_price_per_unit,
             THEN 1 ELSE 0 END AS outside_band
 FROM (SELECT r.batch_id, r.purchase_price_per_unit, {std} AS standard_cost
       FROM fact_goods_receipts r JOIN dim_products p ON r.product_id = p.product_id) x""")
+    q["purchase_cost_variance_dirty"] = sql(
+        q["purchase_cost_variance"][len(sql("")):].replace("fact_goods_receipts", "d_fact_goods_receipts"),
+        *DIRTY_CTES)
     q["stock_on_hand"] = sql("SELECT * FROM soh", _stock_on_hand(AS_OF))
     q["reorder_candidates"] = sql(f"""
 SELECT warehouse_id, product_id, supplier_id, coalesce(stock, 0)::BIGINT AS stock,
@@ -129,13 +132,46 @@ JOIN (SELECT batch_id, warehouse_id, product_id, quantity_received AS q,
       FROM fact_goods_receipts WHERE quantity_received > 0) b
   ON s.warehouse_id = b.warehouse_id AND s.product_id = b.product_id
  AND s.hi - s.q < b.hi AND b.hi - b.q < s.hi""")
+    # Per pair the steps (sale, lot) in (sale date, sale id, expiry, receipt, batch) order;
+    # the state carries what the lots still hold and what the sale still needs.
+    q["batch_allocation_dated"] = sql("""
+SELECT sale_id, batch_id, took AS quantity_from_batch FROM walk WHERE took > 0""",
+                                      """step AS MATERIALIZED (
+  SELECT warehouse_id, product_id, sale_id, batch_id, quantity_sold AS wanted, lot_no,
+         row_number() OVER (PARTITION BY warehouse_id, product_id
+                            ORDER BY sale_date, sale_id, lot_no) AS step_no,
+         row_number() OVER (PARTITION BY sale_id ORDER BY lot_no) = 1 AS fresh
+  FROM fact_sales
+  JOIN (SELECT *, row_number() OVER (PARTITION BY warehouse_id, product_id
+                                     ORDER BY expiry_date, receipt_date, batch_id) AS lot_no
+        FROM fact_goods_receipts WHERE quantity_received > 0) USING (warehouse_id, product_id)
+  WHERE quantity_sold > 0 AND receipt_date <= sale_date AND sale_date < expiry_date)""",
+                                      """held AS MATERIALIZED (
+  SELECT warehouse_id, product_id, list(quantity_received ORDER BY expiry_date, receipt_date, batch_id) AS have
+  FROM fact_goods_receipts WHERE quantity_received > 0 GROUP BY ALL)""",
+                                      """walk AS (
+  SELECT warehouse_id, product_id, 0::BIGINT AS step_no, have::BIGINT[] AS have, 0::BIGINT AS need,
+         ''::VARCHAR AS sale_id, ''::VARCHAR AS batch_id, 0::BIGINT AS took FROM held
+  UNION ALL
+  SELECT warehouse_id, product_id, step.step_no,
+         list_concat(have[:lot_no - 1], [have[lot_no] - least(have[lot_no], open_need)], have[lot_no + 1:]),
+         open_need - least(have[lot_no], open_need), step.sale_id, step.batch_id,
+         least(have[lot_no], open_need)
+  FROM (SELECT walk.warehouse_id, walk.product_id, have, step.*,
+               CASE WHEN fresh THEN wanted::BIGINT ELSE need END AS open_need
+        FROM walk JOIN step ON walk.warehouse_id = step.warehouse_id
+          AND walk.product_id = step.product_id AND step.step_no = walk.step_no + 1) step)""").replace(
+        "WITH ", "WITH RECURSIVE ", 1)
     q["stockout_days"] = sql("""
 SELECT stockout_date, warehouse_id, product_id, quantity_demanded, quantity_supplied,
        quantity_demanded - quantity_supplied AS shortfall
 FROM (SELECT stockout_date, warehouse_id, product_id,
              CAST(SUM(quantity_demanded) AS BIGINT) AS quantity_demanded,
              CAST(SUM(quantity_supplied) AS BIGINT) AS quantity_supplied
-      FROM fact_stockout_events GROUP BY stockout_date, warehouse_id, product_id) g
+      FROM (SELECT stockout_date, warehouse_id, product_id, quantity_demanded, quantity_supplied
+            FROM fact_stockout_events
+            UNION ALL SELECT sale_date, warehouse_id, product_id, quantity_sold, quantity_sold FROM fact_sales)
+      GROUP BY stockout_date, warehouse_id, product_id) g
 WHERE quantity_demanded - quantity_supplied > 0""")
     q["scalar_derivations"] = sql("""
 SELECT s.sale_id,

@@ -24,7 +24,7 @@ from shelflife.operators import staging as J
 from shelflife.operators.common import union_all
 from shelflife.schemas import SCHEMAS, TABLE_NAMES
 from shelflife.sources import files as A
-from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, staged_tables
+from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, odd_tables, staged_tables
 
 # The fixture's product categories (columns of the heatmap) and
 # the ones treated as needing cold storage (every category but STANDARD).
@@ -107,7 +107,38 @@ def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table_preview(J.sales_enriched(staged_tables(spark, sf_dir)), ["sale_id"], 10)
 
 
+# Report order of the E and K queries (fixed values: the output contract's sorts; a leading
+# minus is descending).  The sort runs over the last, small aggregate.
+REPORT_ORDER = {
+    "row_counts": ["table_name"], "sales_by_warehouse": ["-total_revenue"],
+    "sales_by_category": ["-total_revenue"], "dq_summary": ["check_id"],
+    "expiry_loss_by_category": ["-total_cost_lost_to_expiry"],
+    "expiry_loss_rate_by_category": ["-expiry_loss_rate_percent"],
+    "expiry_loss_by_warehouse": ["-total_cost_lost_to_expiry"],
+    "stockout_rate": ["-stockout_rate_percent"], "supplier_delivery": ["-total_batches_received"],
+    "supplier_cost_volatility": ["reliability_score"],
+    "gross_margin_by_category_month": ["category", "sale_month"],
+    "gross_margin_allocated": ["category", "sale_month"], "warehouse_scorecard": ["-total_revenue"],
+    "cumulative_revenue_and_expiry": ["category", "sale_month"], "warehouse_ranking": ["revenue_rank"],
+}
+
+
+def _ordered(query: Query, order: list[str]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = query(spark, sf_dir)
+        # the named columns, then all others, so that ties come in one order
+        rest = [c for c in df.columns if c not in {o.lstrip("-") for o in order}]
+        return df.orderBy(*[F.desc(c[1:]) if c[0] == "-" else F.asc(c) for c in [*order, *rest]])
+    run.__doc__ = query.__doc__
+    return run
+
+
 def spark_queries() -> dict[str, Query]:
+    out = _queries()
+    return out | {k: _ordered(out[k], order) for k, order in REPORT_ORDER.items()}
+
+
+def _queries() -> dict[str, Query]:
     return {
         # E: profiling and quality
         "row_counts": _q(E.row_counts),
@@ -137,7 +168,7 @@ def spark_queries() -> dict[str, Query]:
         "gross_margin_allocated": _q(K.gross_margin_allocated),
         "warehouse_scorecard": _q(K.warehouse_scorecard),
         "active_batches": _q(K.active_batches, **AS_OF),
-        "inventory_aging_summary": _q(K.inventory_aging_summary, **AS_OF),
+        "inventory_aging_summary": _q(K.inventory_aging_summary_sorted, **AS_OF),
         "cumulative_revenue_and_expiry": _q(K.cumulative_revenue_and_expiry),
         "warehouse_ranking": _q(K.warehouse_ranking),
         # B: integrity (clean fixture, then with planted defects)
@@ -149,6 +180,9 @@ def spark_queries() -> dict[str, Query]:
         "pk_violations_dirty": _dirty(B.pk_violations),
         "not_null_violations_dirty": _dirty(B.not_null_violations),
         "fk_violations_dirty": _dirty(B.fk_violations),
+        "domain_violations_dirty": lambda spark, sf_dir: B.domain_violations(
+            odd_tables(staged_tables(spark, sf_dir))),
+        "purchase_cost_variance_dirty": _dirty(M.purchase_cost_variance),
         "dq_summary_dirty": _dirty(E.dq_summary),
         "dq_nonpositive_sales_dirty": _dirty(E.dq_nonpositive_sales),
         "dq_nonpositive_batch_qty_dirty": _dirty(E.dq_nonpositive_batch_qty),

@@ -33,7 +33,6 @@ SHELF_LIFE_BY_TYPE = {"ECONOMY": 5, "SMALL": 6, "MEDIUM": 7, "LARGE": 9, "PROMO"
 SHELF_LIFE_DEFAULT = 8
 SPLIT_ABOVE = 40          # lines above this quantity draw 10 units from the other lot
 SPLIT_UNITS = 10
-STOCKOUT_EVERY = 18       # order keys divisible by this also record a stock-out
 FIXTURE_AS_OF = dt.date(1995, 9, 30)
 
 
@@ -161,6 +160,8 @@ class Fixture:
                 "sd", "rk",
                 F.col("l_quantity").cast("int").alias("q"),
                 (F.col("l_linenumber") % 2).alias("lot"),
+                F.floor(F.col("l_quantity").cast("int") * F.col("l_tax").cast(T.DecimalType(5, 2)))
+                .cast("int").alias("unmet"),
                 F.row_number().over(w).alias("rn"),
             )
         )
@@ -265,16 +266,16 @@ class Fixture:
         )
 
     def fact_stockout_events(self) -> DataFrame:
-        line = self.line().where(F.col("l_orderkey") % STOCKOUT_EVERY == 0)
-        short = (1 + F.col("l_partkey") % 5).cast("int")
+        # demand is the quantity and its l_tax share in whole units; only the quantity is served
+        line = self.line().where(F.col("unmet") > 0)
         return line.select(
             F.format_string("SO%08d-%d-%d", "l_orderkey", "l_linenumber", "rn").alias("stockout_id"),
             F.col("sd").alias("stockout_date"),
             _warehouse_id(F.col("rk")).alias("warehouse_id"),
             _product_id(F.col("l_partkey")).alias("product_id"),
-            (F.col("q") + short).cast("int").alias("quantity_demanded"),
+            (F.col("q") + F.col("unmet")).cast("int").alias("quantity_demanded"),
             F.col("q").alias("quantity_supplied"),
-            short.alias("shortfall"),
+            F.col("unmet").alias("shortfall"),
         )
 
     def tables(self) -> Tables:
@@ -284,11 +285,6 @@ class Fixture:
         return Tables({n: getattr(self, n) for n in names})
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The nine model tables derived from the driver tables under ``sf_dir``."""
-    return Fixture(spark, sf_dir).tables()
-
-
 def dirty_tables(t: Tables) -> Tables:
     """The fixture with known defects planted (FIXTURES.md §4), for the checks.
 
@@ -305,6 +301,9 @@ def dirty_tables(t: Tables) -> Tables:
     r = t["fact_goods_receipts"]
     r = r.withColumn("expiry_date", F.when(pk % 97 == 0, F.col("receipt_date"))
                      .otherwise(F.col("expiry_date")))
+    r = r.withColumn("purchase_price_per_unit", F.when(
+        pk % 97 == 5, F.col("purchase_price_per_unit") * _d("1.20", 3, 2))
+        .otherwise(F.col("purchase_price_per_unit")).cast(T.DecimalType(10, 4)))
     b = t["fact_sale_batch_map"]
     b = b.select(
         F.when(ok % 997 == 2, F.concat("sale_id", F.lit("X"))).otherwise(F.col("sale_id")).alias("sale_id"),
@@ -314,6 +313,19 @@ def dirty_tables(t: Tables) -> Tables:
     return t.replace(fact_sales=s, fact_goods_receipts=r, fact_sale_batch_map=b)
 
 
+def odd_tables(t: Tables) -> Tables:
+    """The fixture as a reader without a schema might see it, for the domain checks: some
+    over-wide status texts, and batch costs as text of which some do not fit their type."""
+    digits = lambda c: F.substring_index(F.expr(f"substring({c}, 2)"), "-", 1).cast("bigint")
+    p = t["dim_products"].withColumn("status", F.when(
+        digits("product_id") % 97 == 7, F.repeat(F.lit("x"), 500)).otherwise(F.col("status")))
+    r = t["fact_goods_receipts"].withColumn("total_batch_cost", F.when(
+        digits("batch_id") % 97 == 5, F.lit("123456789012345.678"))
+        .when(digits("batch_id") % 97 == 6, F.lit("n/a"))
+        .otherwise(F.col("total_batch_cost").cast("string")))
+    return t.replace(dim_products=p, fact_goods_receipts=r)
+
+
 # ---- staged copy ------------------------------------------------------------------
 
 _STAGED: dict[tuple[str, str], Tables] = {}
