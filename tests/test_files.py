@@ -27,15 +27,68 @@ def test_file_row_counts_not_found(spark, small):
     assert got["TOTAL ROWS"] == (6200, "OK")
 
 
-def test_full_refresh_publishes_and_rejects(spark, small):
+@pytest.fixture(scope="module")
+def store(spark, small):
     root = A.scratch_path(spark, "test-store")
     A.full_refresh(spark, small, root)
-    cur = A.load_current(spark, root)
-    assert cur["fact_sales"].count() == 6000
-    with pytest.raises(A.RefreshFailed):
-        A.full_refresh(spark, dirty_tables(small), root)
+    return root
+
+
+def spoiled(t, defect):
+    s, p = t["fact_sales"], t["dim_products"]
+    first = s.agg(F.min("sale_id")).first()[0]
+    bad = F.col("sale_id") == first
+    if defect == "null":
+        return t.replace(dim_products=p.withColumn("status", F.when(
+            F.col("product_id") != "P000001", F.col("status"))))
+    if defect == "null key":
+        return t.replace(fact_sales=s.withColumn("warehouse_id", F.when(~bad, F.col("warehouse_id"))))
+    if defect == "wide":
+        return t.replace(dim_products=p.withColumn("status", F.repeat("status", 100)))
+    if defect == "duplicate":
+        return t.replace(fact_sales=s.unionByName(s.where(bad)))
+    return t.replace(fact_sales=s.withColumn("product_id", F.when(bad, "nowhere").otherwise(F.col("product_id"))))
+
+
+@pytest.mark.parametrize("defect,said", [
+    ("null", "null dim_products status"), ("null key", "null fact_sales warehouse_id"),
+    ("wide", "domain dim_products status"), ("duplicate", "duplicate key fact_sales sale_id"),
+    ("orphan", "orphan fact_sales product_id")])
+def test_full_refresh_rejects(spark, small, store, defect, said):
+    before = A.load_current(spark, store)["fact_sales"].inputFiles()
+    with pytest.raises(A.RefreshFailed) as e:
+        A.full_refresh(spark, spoiled(small, defect), store)
+    assert any(said in p for p in e.value.problems)
     # the failed load did not move the pointer
-    assert A.load_current(spark, root)["fact_sales"].count() == 6000
+    assert A.load_current(spark, store)["fact_sales"].inputFiles() == before
+
+
+def test_refresh_names_every_broken_constraint(spark, small, store):
+    found = A.violations(dirty_tables(small)).collect()
+    with pytest.raises(A.RefreshFailed) as e:
+        A.full_refresh(spark, dirty_tables(small), store)
+    assert len(e.value.problems) == len(found) > 3
+
+
+def test_refresh_keeps_the_latest_versions(spark, small):
+    root = A.scratch_path(spark, "test-keep")
+    for _ in range(3):
+        published = A.full_refresh(spark, small, root, validate=False, keep=2)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = [x.getPath().getName() for x in fs.listStatus(path) if x.getPath().getName().startswith("v-")]
+    assert len(kept) == 2 and published["fact_sales"].count() == 6000
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(monkeypatch, spark):
+    from types import SimpleNamespace
+
+    from shelflife.session import checkpoint_dir
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077",
+                              getConf=lambda: SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=context))
 
 
 def test_table_preview_order(small):

@@ -5,7 +5,7 @@ from shelflife.sources.fixture import dirty_tables
 EXPECTED_SF001 = {
     "dim_products": 200, "dim_warehouses": 5, "dim_suppliers": 10,
     "dim_supplier_products": 1905, "fact_sales": 6000, "fact_goods_receipts": 1992,
-    "fact_sale_batch_map": 7192, "fact_inventory_adjustments": 1326, "fact_stockout_events": 315,
+    "fact_sale_batch_map": 7192, "fact_inventory_adjustments": 1326, "fact_stockout_events": 2431,
 }
 
 
@@ -55,7 +55,7 @@ def test_staged_tables_concurrent_first_use(spark):
         th.start()
     for th in threads:
         th.join()
-    assert not errors and out == [315] * 4
+    assert not errors and out == [2431] * 4
 
 
 def test_replace_delegates_to_original(spark):

@@ -66,10 +66,62 @@ def test_ledger_end_balance(small):
     assert total_end == rec - sold - adj
 
 
-def test_reorder_has_one_row_per_pair(small):
-    r = M.reorder_candidates(small, FIXTURE_AS_OF)
-    assert r.count() == M.stock_on_hand(small, FIXTURE_AS_OF).count()
-    assert set(x[0] for x in rows(r, "reorder")) <= {0, 1}
+def test_reorder_has_one_row_per_storable_pair(small):
+    from shelflife.plans.registry import FIXTURE_COLD
+    r = M.reorder_candidates(small, FIXTURE_AS_OF, FIXTURE_COLD)
+    pairs = M.stockable_pairs(small, FIXTURE_COLD).join(
+        M.active_products(small, FIXTURE_AS_OF).select("product_id"), "product_id")
+    assert r.count() == pairs.count() == r.select("warehouse_id", "product_id").distinct().count()
+    assert set(x[0] for x in rows(r, "reorder")) == {0, 1}
+    gone = r.where("stock = 0 and base_daily_demand > 0")
+    assert gone.count() > 0 and gone.where("coverage_days <> 0 or reorder <> 1").count() == 0
+
+
+def test_reorder_rules(spark, small):
+    """A sold-out pair is reordered; an inactive product and a cold product in a warm site
+    are not listed; a pair without demand is covered."""
+    import datetime as dt
+    day = dt.date(2024, 5, 1)
+    product = "product_id string, category string, status string, launch_date date"
+    old = dt.date(2020, 1, 1)
+    t = {
+        "dim_products": spark.createDataFrame(
+            [("P1", "Snacks", "Active", old), ("P2", "Snacks", "Inactive", old),
+             ("P3", "Milk", "Active", old), ("P4", "Snacks", "Active", dt.date(2024, 6, 1))], product),
+        "dim_warehouses": spark.createDataFrame([("W1", 0), ("W2", 1)],
+                                                "warehouse_id string, cold_storage_flag int"),
+        "dim_suppliers": spark.createDataFrame([("S1", 2)], "supplier_id string, average_lead_time_days int"),
+        "dim_supplier_products": spark.createDataFrame(
+            [(p, "S1", 1) for p in ("P1", "P2", "P3", "P4")], "product_id string, supplier_id string, is_primary int"),
+        "fact_sales": spark.createDataFrame(
+            [("s1", day, "W1", "P1", 10)],
+            "sale_id string, sale_date date, warehouse_id string, product_id string, quantity_sold int"),
+        "fact_sale_batch_map": spark.createDataFrame(
+            [("s1", "B1", 10)], "sale_id string, batch_id string, quantity_from_batch int"),
+        "fact_goods_receipts": spark.createDataFrame(
+            [("B1", "W1", "P1", day, dt.date(2024, 6, 1), 10)],
+            "batch_id string, warehouse_id string, product_id string, receipt_date date, "
+            "expiry_date date, quantity_received int"),
+        "fact_inventory_adjustments": spark.createDataFrame(
+            [], "batch_id string, adjustment_date date, quantity_adjusted int")}
+    got = {(r.warehouse_id, r.product_id): (r.stock, r.coverage_days, r.reorder)
+           for r in M.reorder_candidates(t, day).collect()}
+    assert got == {("W1", "P1"): (0, 0.0, 1), ("W2", "P1"): (0, 999.0, 0), ("W2", "P3"): (0, 999.0, 0)}
+
+
+def test_forecast_does_not_see_its_own_day(small):
+    day = FIXTURE_AS_OF
+    got = M.expected_demand(small, day=day)
+    before = M.base_daily_demand(small, until=day.replace(day=day.day - 1))
+    j = got.join(before.withColumnRenamed("base_daily_demand", "b"), ["warehouse_id", "product_id"])
+    assert got.count() == j.where("base_daily_demand = b").count() > 0
+
+
+def test_stockout_days_drop_served_days(small):
+    days = M.stockout_days(small)
+    sold = small["fact_sales"].select("sale_date", "warehouse_id", "product_id").distinct().count()
+    assert 0 < days.count() < sold
+    assert days.where("shortfall <= 0").count() == 0
 
 
 def test_expiry_writeoffs_positive(small):
