@@ -225,7 +225,8 @@ def _dealt(docs: DataFrame) -> DataFrame:
     ends = spark.createDataFrame([(p, r, h, b) for (p, r, h), b in zip(heads, before)],
                                  "p int, r decimal(20,0), hh long, before int")
     own = keyed.select("part", F.lit(False).alias("copy"), "rank", "h", "doc_id", "text")
-    copies = keyed.join(ends, (F.col("part") == F.col("p")) & (F.col("rank") == F.col("r"))
+    # one row a part, so at most as many as partitions
+    copies = keyed.join(F.broadcast(ends), (F.col("part") == F.col("p")) & (F.col("rank") == F.col("r"))
                         & (F.col("h") == F.col("hh")))
     copies = copies.select(F.col("before").alias("part"), F.lit(True).alias("copy"),
                            "rank", "h", "doc_id", "text").dropDuplicates(["part"])
