@@ -53,6 +53,7 @@ def slices(batches: Iterator[pa.RecordBatch], col: str, limit: int = 8 << 20
                 i, size = j, 0
             size += sizes[j]
         yield batch.slice(i, n - i)
+    pa.default_memory_pool().release_unused()
 
 
 def partitions(spark: SparkSession, factor: int = 1) -> int:

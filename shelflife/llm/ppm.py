@@ -33,9 +33,9 @@ ORDER = 5               # bytes of the longest context
 LOW = 3                 # shards are cut by so many last bytes; shorter contexts go to every shard
 END = 256               # the symbol after a text
 DENSE = 3               # steps of a walk that go through a table of all bytes
-MAX_CONTEXTS = 1 << 19  # longest contexts of a shard (those with the same last bytes are 2**16 at most)
-HOT_WORDS = 1 << 17     # words whose counts are broadcast, at most
-FLUSH = 1 << 20         # distinct items that a counting task holds
+MAX_CONTEXTS = 1 << 18  # longest contexts of a shard (those with the same last bytes are 2**16 at most)
+HOT_WORDS = 1 << 16     # words whose counts are broadcast, at most
+FLUSH = 1 << 19         # distinct items that a counting task holds
 
 
 def _positions(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,7 +75,7 @@ def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
         def out():
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["gram", "n"])
 
-        for part in slices(batches, "raw", 4 << 20):
+        for part in slices(batches, "raw", 2 << 20):
             got = _gram_keys([t.lower() for t in part.column(0).to_pylist()], order)
             new, m = np.unique(got, return_counts=True)
             both, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
@@ -141,7 +141,9 @@ class Trie:
         base = 0
         for k in range(order + 1):
             ctx, sym, n = grams[k]
-            nodes, node = np.unique(ctx, return_inverse=True)
+            begins = np.ones(len(ctx), bool)  # grams are sorted, so a context's stand together
+            np.not_equal(ctx[1:], ctx[:-1], out=begins[1:])
+            nodes, node = ctx[begins], np.cumsum(begins, dtype=np.int32) - 1
             size = max(1, len(nodes))
             d = np.bincount(node, minlength=size)
             total = np.bincount(node, n, minlength=size)
@@ -162,8 +164,7 @@ class Trie:
                 else:
                     far.append(((p_base + at) << 9) | last)
                     far_node.append(base + np.arange(len(nodes)))
-                found = np.searchsorted(p_keys, (at[node] << 9) | sym)
-                seen_up = p_n[found]
+                seen_up = p_n[np.searchsorted(p_keys, (at[node] << 9) | sym)]
                 rest = p_total[at] - np.bincount(node, seen_up, minlength=len(nodes))
                 d_rest = p_d[at] - d
                 e = _Escapes()
@@ -172,23 +173,24 @@ class Trie:
                 out = np.where(d_rest > 0, e.estimate(rest, d_rest), 1.0)
                 up = p_base + at
             with np.errstate(divide="ignore"):
-                logp.append(np.log10((1 - own[node]) * n / total[node]))
-                logc.append(np.log10(n))
+                logp.append(np.log10((1 - own[node]) * n / total[node]).astype(np.float32))
+                logc.append(np.log10(n).astype(np.float32))
                 escape.append(np.log10(own))
                 excluded.append(np.log10(out))
                 left.append(np.log10((1 - out) / np.maximum(rest, 1)))
-            keys.append(((base + node) << 9) | sym)
+            keys.append(((base + node.astype(np.int64)) << 9) | sym)
             parent.append(up)
             if k < min(order, DENSE):
                 child.append(np.full((size, w), -1, np.int32))
-            parents, p_keys, p_n = nodes, (node << 9) | sym, n
+            parents, p_keys, p_n = nodes, (node.astype(np.int64) << 9) | sym, n
+            grams[k] = None
             p_total, p_d, p_base = total, d, base
             base += size
         self.n_inner = sum(map(len, child))
         # one more row, where a walk that found no child stays
         self.child = np.append(np.concatenate(child).reshape(-1) if child else [],
                                np.full(w, -1)).astype(np.int32)
-        f32 = lambda x: np.concatenate(x).astype(np.float32)
+        f32 = lambda x: np.concatenate(x).astype(np.float32, copy=False)
         self.logp, self.logc = f32(logp), f32(logc)
         self.escape, self.excluded, self.left = f32(escape), f32(excluded), f32(left)
         self.parent = np.concatenate(parent).astype(np.int32)
@@ -305,7 +307,7 @@ class _Escapes:
 def _summed(ctx: np.ndarray, sym: np.ndarray) -> tuple:
     """Grams of shorter contexts: the number of longer ones that saw the symbol."""
     key, n = np.unique((ctx << 9) | sym, return_counts=True)
-    return key >> 9, key & 511, n
+    return key >> 9, (key & 511).astype(np.int16), n.astype(np.int32)
 
 
 def _arrays(grams: DataFrame) -> tuple:
@@ -313,7 +315,8 @@ def _arrays(grams: DataFrame) -> tuple:
     got = grams.select("gram", "n").toArrow()
     key = got.column("gram").to_numpy()
     order = np.argsort(key)
-    return key[order] >> 9, key[order] & 511, got.column("n").to_numpy()[order]
+    key = key[order]
+    return key >> 9, (key & 511).astype(np.int16), got.column("n").to_numpy()[order]
 
 
 def _shorter(grams: DataFrame, order: int, to: int) -> DataFrame:
@@ -374,7 +377,8 @@ def score(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
         held += sizes.get(least, 0)
     hot = {bytes(r.word): r.n for r in words.filter(F.col("n") >= F.lit(1 << least)).collect()}
     hot.setdefault(b"", words.filter(F.col("word") == F.lit(b"")).agg(F.sum("n")).first()[0] or 0)
-    hot_bc = spark.sparkContext.broadcast({w: (math.log10(n + 0.5), n > 0) for w, n in hot.items()})
+    hot_bc = spark.sparkContext.broadcast({w: math.log10(n + 0.5) for w, n in hot.items()})
+    end_known = int(hot[b""] > 0)
 
     low = _arrays(_shorter(grams, order, min(order, LOW)))
 
@@ -403,7 +407,7 @@ def score(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
     # positions whose last bytes are in no shard have short contexts alone: the first pass
     # scores whatever the later ones do not
     others = np.concatenate(marks[1:]) if len(marks) > 1 else None
-    whole = _scored(rows, model(marks[0], others), hot_bc, trie)
+    whole = _scored(rows, model(marks[0], others), hot_bc, end_known, trie)
     whole = stored(whole.withColumn("row", F.monotonically_increasing_id()), "scores")
 
     # words beyond the hot ones
@@ -416,7 +420,7 @@ def score(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
     out = whole.join(cold.withColumnRenamed("row", "of_row"), F.col("row") == F.col("of_row"), "left")
 
     for i, mine in enumerate(marks[1:]):
-        more = _scored(rows, model(mine, None), None, trie).select(
+        more = _scored(rows, model(mine, None), None, 0, trie).select(
             F.col("doc_id").alias("d"), F.col("hash").alias("h"), F.col("score").alias(f"more{i}"))
         more = stored(more.dropDuplicates(["d", "h"]), "scores")
         out = out.join(more, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h"))
@@ -447,7 +451,7 @@ class _Model:
         return self.bc.value
 
 
-def _scored(rows: DataFrame, model: _Model, hot_bc, trie) -> DataFrame:
+def _scored(rows: DataFrame, model: _Model, hot_bc, end_known: int, trie) -> DataFrame:
     """Per document: its PPM score under the shard, sums over hot words, and its cold words."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("hash", pa.int64()),
                         ("n_tokens", pa.int64()), ("known", pa.int64()), ("hot_sum", pa.float64()),
@@ -468,8 +472,8 @@ def _scored(rows: DataFrame, model: _Model, hot_bc, trie) -> DataFrame:
                 n_tokens.append(len(ws) + 1)
                 other = Counter(w for w, g in zip(ws, got) if g is None)
                 got = [g for g in got if g is not None]
-                known.append(len(got) + ends[1])
-                sums.append(math.fsum(g[0] for g in got) + ends[0])
+                known.append(len(got) + end_known)
+                sums.append(math.fsum(got) + ends)
                 cold.append([{"word": w, "n": n} for w, n in other.items()])
             if hot is None:
                 n_tokens = known = sums = cold = [None] * len(texts)
