@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelflife.llm.common import WORD
+from shelflife.llm.common import WORD, stored
 
 WEIGHTS = (5, 2, 1)     # of sources in code-point order, repeating
 SHARE_PERCENT = 150     # of all sizes, shared by the sources
@@ -57,50 +57,54 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: int = SHARE_PERCENT
     return s.select("source", "source_size", "n_docs", target.alias("target"))
 
 
-def _sized(docs: DataFrame) -> DataFrame:
-    """Documents with size and a random number in (0, 1) hashed from id, text length and text."""
+def _keys(docs: DataFrame) -> DataFrame:
+    """(rec, source, doc_id, u, tie): a random number in (0, 1) from a hash of id and text,
+    and that hash to break ties.  Equal rows have equal keys."""
     text = F.coalesce(F.col("rec.text"), F.lit(""))
-    key = F.concat_ws("|", F.coalesce(F.col("rec.doc_id").cast("string"), F.lit("")), F.md5(text))
-    u = (F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
+    key = F.md5(F.concat_ws("|", F.coalesce(F.col("rec.doc_id").cast("string"), F.lit("")), F.md5(text)))
+    u = (F.conv(F.substring("tie", 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
     return docs.select(F.struct("*").alias("rec")).select(
         "rec", F.col("rec.source").alias("source"), F.col("rec.doc_id").alias("doc_id"),
-        word_count("rec.text").alias("size"), u.alias("u"), F.md5(key).alias("tie"))
+        key.alias("tie")).withColumn("u", u)
 
 
-def _copies(sized: DataFrame, bucket_rows: int) -> DataFrame:
-    """Adds source_size, target and copies to sized documents."""
-    sources = source_targets(sized.groupBy("source").agg(
+def _ranked(docs: DataFrame, bucket_rows: int) -> DataFrame:
+    """Documents without their texts: doc_id, source, size, u, tie, source_size, target,
+    whole, and ``extra``: whether the sample takes one more, with ``k``, the row's number
+    among rows of equal key."""
+    slim = stored(_keys(docs).select("doc_id", "source", word_count("rec.text").alias("size"),
+                                     "u", "tie"), "sizes")
+    # one row a source, stored, so that its size decides how it is joined
+    sources = source_targets(slim.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("n_docs")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    sources = (sources.withColumn("whole", F.floor(rate)).withColumn("p", rate - F.floor(rate))
-               .withColumn("n_buckets", F.ceil(F.col("n_docs") / bucket_rows))
-               .select(F.col("source").alias("of"), "source_size", "target", "whole", "p",
-                       "n_buckets"))
-    d = sized.join(sources, F.col("source").eqNullSafe(F.col("of")))
+    sources = stored(sources.select(
+        F.col("source").alias("of"), "source_size", "target", F.floor(rate).alias("whole"),
+        (rate - F.floor(rate)).alias("p"), F.ceil(F.col("n_docs") / bucket_rows).alias("n_buckets")),
+        "targets")
+    d = slim.join(sources, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     odds = F.col("u") / (1 - F.col("u")) * (1 - F.col("p")) / F.col("p")
     d = d.withColumn("rank", F.when((F.col("p") > 0) & (F.col("size") > 0), odds))
-    # equal shares of the ranks' order: rank / (1 + rank) is in (0, 1) and u spreads evenly,
-    # so buckets cut on u, which has the order of the rank within a source
+    # within a source p is one number, so the rank has the order of u, and buckets of equal
+    # width in u hold like numbers of rows
     d = d.withColumn("bucket", F.when(F.col("rank").isNotNull(),
                                       F.floor(F.col("u") * F.col("n_buckets"))))
     sums = d.filter("bucket is not null").groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     up_to = Window.partitionBy("source").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"),
-                       F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("base"))
-    d = d.join(sums, F.col("source").eqNullSafe(F.col("of_source"))
-               & (F.col("bucket") == F.col("of_bucket")), "left")
-    inside = Window.partitionBy("source", "bucket").orderBy("rank", "tie").rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranked = d.filter("bucket is not null").withColumn(
-        "before", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    sums = stored(sums.select(F.col("source").alias("of"), F.col("bucket").alias("of_bucket"),
+                              F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("base")), "buckets")
+    ranked = d.filter("bucket is not null").join(sums, F.col("source").eqNullSafe(F.col("of"))
+                                                 & (F.col("bucket") == F.col("of_bucket")))
+    order = Window.partitionBy("source", "bucket").orderBy("rank", "tie")
+    before = F.col("base") + F.coalesce(
+        F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     left = F.col("target") - F.col("whole") * F.col("source_size")
-    chosen = F.col("before") + F.col("size") / 2 <= left
-    ranked = ranked.withColumn("copies", F.col("whole") + chosen.cast("long"))
-    certain = d.filter("bucket is null").withColumn("before", F.lit(None).cast("long")).withColumn(
-        "copies", F.when(F.col("size") > 0, F.col("whole")).otherwise(
-            F.least(F.col("whole"), F.lit(1))).cast("long"))
-    return ranked.unionByName(certain)
+    ranked = ranked.withColumn("extra", before + F.col("size") / 2 <= left).withColumn(
+        "k", F.row_number().over(order) - F.rank().over(order) + 1)
+    certain = d.filter("bucket is null").withColumn("extra", F.lit(False)).withColumn("k", F.lit(0))
+    cols = ["doc_id", "source", "size", "u", "tie", "source_size", "target", "whole", "extra", "k"]
+    return ranked.select(cols).unionByName(certain.select(cols))
 
 
 def mix_report(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -109,13 +113,33 @@ def mix_report(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     Null text has size 0; null source is a source of its own; repeated rows are
     ranked each; a source without words has target 0; an empty table gives no rows.
     """
-    c = _copies(_sized(docs), bucket_rows)
-    return c.select("doc_id", "size", "source_size", "target",
-                    (F.col("copies") * F.col("size")).alias("taken"))
+    return _ranked(docs, bucket_rows).select(
+        "doc_id", "size", "source_size", "target",
+        ((F.col("whole") + F.col("extra").cast("long")) * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The mixture itself: every document as often as it is taken, all its columns."""
-    c = _copies(_sized(docs), bucket_rows).filter("copies > 0")
-    return c.select("rec", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")
-                    ).select("rec.*")
+    """The mixture itself: every document as often as it is taken, all its columns.
+
+    The sample takes a prefix of each source's order: a document that would pass the
+    target by more than half of itself has all later ones beyond the target.  So one
+    key a source tells which documents go in, and texts are not shuffled.  Rows equal
+    to that key are counted off.  A document without words goes in once if its source
+    is taken whole.
+    """
+    cut = F.max(F.when(F.col("extra"), F.struct("u", "tie", "k")))
+    cuts = stored(_ranked(docs, bucket_rows).groupBy("source").agg(
+        F.first("whole").alias("whole"), cut.alias("cut")).withColumnRenamed("source", "of"), "cuts")
+    d = _keys(docs).join(cuts, F.col("source").eqNullSafe(F.col("of")))
+    has_words = F.coalesce(F.col("rec.text").rlike(WORD), F.lit(False))
+    own, last = F.struct("u", "tie"), F.struct("cut.u", "cut.tie")
+    at_cut = F.coalesce(own == last, F.lit(False)) & has_words
+    inside = F.coalesce((own < last) & has_words, F.lit(False))
+    sure = d.filter(~at_cut).select("rec", F.when(has_words, F.col("whole") + inside.cast("long"))
+                                    .otherwise(F.least("whole", F.lit(1))).alias("copies"))
+    number = F.row_number().over(Window.partitionBy("source", "u", "tie").orderBy("u"))
+    edge = d.filter(at_cut).withColumn("number", number).select(
+        "rec", (F.col("whole") + (F.col("number") <= F.col("cut.k")).cast("long")).alias("copies"))
+    both = sure.unionByName(edge).filter("copies > 0")
+    return both.select("rec", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("n")
+                       ).select("rec.*")

@@ -82,3 +82,12 @@ def test_empty(spark):
 def test_no_python_on_the_path(spark):
     plan = M.mix(documents(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|MapIn", plan)
+
+
+def test_repeated_rows_at_the_edge_are_counted_off(spark):
+    """Equal rows share a key; the mixture takes as many of them as its words allow."""
+    from pyspark.sql import functions as F
+    docs = spark.range(400).select(
+        F.lit(5).cast("long").alias("doc_id"), F.lit("one two three").alias("text"),
+        F.when(F.col("id") < 300, "a").otherwise("b").alias("source"))
+    check(spark, docs, 50)
