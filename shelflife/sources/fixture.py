@@ -336,6 +336,7 @@ _STAGED_LOCK = threading.Lock()
 
 # The two big tables joined on sale_id are stored bucketed (and sorted) on it,
 # so every sales x bridge join reads co-located buckets instead of shuffling.
+BUCKET_BYTES = 128 << 20  # of order lines a bucket, at most
 BUCKETED = {"fact_sales": "sale_id", "fact_sale_batch_map": "sale_id"}
 
 
@@ -349,7 +350,7 @@ def staged_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None)
     The order lines, which five tables are built from, and the lots' receipts,
     which three are, are written first and reused.  Sales and the sale-to-batch
     bridge are bucketed on ``sale_id`` into ``buckets`` buckets (default:
-    ``spark.sql.shuffle.partitions``) so their joins need no shuffle.
+    ``spark.sql.shuffle.partitions``, or more where the order lines need it) so their joins need no shuffle.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _STAGED_LOCK:
@@ -358,11 +359,18 @@ def staged_tables(spark: SparkSession, sf_dir: str, buckets: int | None = None)
         return _STAGED[key]
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return p.getFileSystem(conf).getContentSummary(p).getLength()
+
+
 def _staging(spark: SparkSession, sf_dir: str, buckets: int | None) -> Tables:
     from shelflife.sources.files import scratch_path
     from shelflife.schemas import SCHEMAS
 
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                       _bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") // BUCKET_BYTES)
     root = scratch_path(spark, "fixture")
     tag = root.rstrip("/").rsplit("-", 1)[-1]
     state: dict[str, Fixture] = {}
