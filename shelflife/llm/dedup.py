@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from shelflife.llm.common import SPACE, partitions, slices, stored
 
 TABLE_BYTES = 32 << 20   # distinct content that one table holds
+TABLE_ROWS = 1 << 18     # rows whose ids a task gathers before it hands its groups on
 FAN_OUT = 16             # parts of a bucket that does not fit
 
 
@@ -86,7 +87,7 @@ def _partial_groups(rows: DataFrame, table_bytes: int) -> DataFrame:
         T.StructField("best_at", T.IntegerType()), rec])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, groups = OpenTable(), []
+        table, groups, n = OpenTable(), [], 0
         rec_type = None
 
         def emit():
@@ -114,9 +115,10 @@ def _partial_groups(rows: DataFrame, table_bytes: int) -> DataFrame:
                     if rank < g[0]:
                         g[0], g[5:] = rank, [n_chars, doc, len(g[4]), r]
                     g[4].append(doc)
-                if table.bytes > table_bytes:
+                n += 1
+                if table.bytes > table_bytes or n >= TABLE_ROWS:
                     yield emit()
-                    table, groups = OpenTable(), []
+                    table, groups, n = OpenTable(), [], 0
         if groups:
             yield emit()
 

@@ -83,6 +83,7 @@ class Page:
         self.own, self.linked = [0], [0]
         self.pieces: list[tuple[int, str]] = []
         self.stack = [0]
+        self.open: Counter = Counter()  # how many elements of a name are open
         at, n = 0, len(html)
         while at < n:
             m = TAG.search(html, at)
@@ -123,13 +124,22 @@ class Page:
         self.own.append(0)
         self.linked.append(0)
         self.stack.append(len(self.tags) - 1)
+        self.open[tag] += 1
+
+    def _cut(self, i: int) -> None:
+        """Close the open elements from place ``i`` of the stack on."""
+        for e in self.stack[i:]:
+            self.open[self.tags[e]] -= 1
+        del self.stack[i:]
 
     def _end(self, names: tuple, bounds: tuple) -> bool:
         """End the innermost open element of ``names``, if none of ``bounds`` stands between."""
+        if not any(self.open[t] for t in names):
+            return False
         for i in range(len(self.stack) - 1, 0, -1):
             tag = self.tags[self.stack[i]]
             if tag in names:
-                del self.stack[i:]
+                self._cut(i)
                 self.pieces.append((-1, ""))
                 return True
             if tag in bounds:
@@ -137,10 +147,11 @@ class Page:
         return False
 
     def _close(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.tags[self.stack[i]] == tag:
-                del self.stack[i:]
-                break
+        if self.open[tag]:
+            i = len(self.stack) - 1
+            while self.tags[self.stack[i]] != tag:
+                i -= 1
+            self._cut(i)
         if tag in BLOCK:
             self.pieces.append((-1, ""))
 

@@ -85,7 +85,7 @@ def test_all_pages(spark):
 
 def test_edges(spark):
     from pyspark.sql import functions as F
-    deep = "<div>" * 3000 + "<p>deep down</p>"
+    deep = "<div>" * 100_000 + "<p>deep down</p>"
     rows = [(1, "u", None), (1, "u", None), (None, None, ""), (2, "v", "<"), (3, "w", "<p>" + "long " * 50000),
             (4, "x", deep), (5, "y", "</p></div><!-- open"), (6, "z", "<p title='a>b\">t</p>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
