@@ -35,7 +35,7 @@ END = 256               # the symbol after a text
 DENSE = 3               # steps of a walk that go through a table of all bytes
 MAX_CONTEXTS = 1 << 18  # longest contexts of a shard (those with the same last bytes are 2**16 at most)
 HOT_WORDS = 1 << 16     # words whose counts are broadcast, at most
-FLUSH = 1 << 19         # distinct items that a counting task holds
+FLUSH = 1 << 20         # distinct items that a counting task holds
 
 
 def _positions(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,22 +69,24 @@ def _gram_keys(texts: list[bytes], order: int) -> np.ndarray:
 
 def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, n) over all texts of column ``raw``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["gram", "n"])
+    def folded(held):
+        keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        return keys, np.bincount(where, np.concatenate([n for _, n in held])).astype(np.int64)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0  # counts of slices, folded together when they are many
         for part in slices(batches, "raw", 2 << 20):
             got = _gram_keys([t.lower() for t in part.column(0).to_pylist()], order)
-            new, m = np.unique(got, return_counts=True)
-            both, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            n = np.bincount(where, np.concatenate([n, m])).astype(np.int64)
-            keys = both
-            if len(keys) > FLUSH:
-                yield out()
-                keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        yield out()
+            held.append(np.unique(got, return_counts=True))
+            size += len(held[-1][0])
+            if size > FLUSH:
+                held = [folded(held)]
+                size = len(held[0][0])
+                if size > FLUSH // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["gram", "n"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in folded(held)], names=["gram", "n"])
 
     part = texts.select("raw").mapInArrow(run, "gram long, n long")
     return part.groupBy("gram").agg(F.sum("n").alias("n"))
