@@ -207,16 +207,20 @@ class Trie:
         raw, at, begins = _positions(texts, self.order)
         if not len(begins):
             return np.zeros(0)
-        value = self.position_scores(raw, at, begins)
-        if mine is not None:
+        sym = _symbols(raw, at, begins)
+        if mine is None:
+            value = self.position_scores(raw, at, sym)
+        else:
             last = np.zeros(len(at), np.int64)
             for k in range(LOW, 0, -1):
                 last = (last << 8) | raw[at - k]
-            value = value * mine[last]
+            own = np.flatnonzero(mine[last])
+            value = np.zeros(len(at), np.float32)
+            value[own] = self.position_scores(raw, at[own], sym[own])
         return np.add.reduceat(value, begins, dtype=np.float64)
 
-    def position_scores(self, raw: np.ndarray, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """log10 probability of the symbol at each position."""
+    def position_scores(self, raw: np.ndarray, at: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """log10 probability of the symbol ``sym`` at each position ``at``."""
         col, w = self.column[raw], self.width
         walk = np.zeros(len(at), np.int32)
         node = walk.copy()
@@ -231,7 +235,6 @@ class Trie:
             got = self.far_node[self.far.find((node[live].astype(np.int64) << 9) | raw[at[live] - k])]
             live = live[got >= 0]
             node[live] = got[got >= 0]
-        sym = _symbols(raw, at, begins)
         entry = self.entries.find((node.astype(np.int64) << 9) | sym)
         value = self.logp[entry]
         # escapes: to the next shorter context, without what the longer one has seen

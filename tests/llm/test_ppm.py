@@ -40,7 +40,7 @@ def prefix(t, text):
     raw, at, begins = P._positions([text], t.order)
     keep = np.ones(len(at), bool)
     keep[-1] = False
-    value = t.position_scores(raw, at, begins)
+    value = t.position_scores(raw, at, P._symbols(raw, at, begins))
     return float(value[keep].sum())
 
 
