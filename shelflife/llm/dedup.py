@@ -129,7 +129,8 @@ def _buckets(partials: DataFrame, table_bytes: int) -> DataFrame:
     """Partition the partial groups into buckets that fit a table: adds (level, bucket)."""
     spark = partials.sparkSession
     total = partials.agg(F.sum("n_bytes")).first()[0] or 0
-    n, level, done, rest = max(partitions(spark), 4 * total // table_bytes), 0, [], partials
+    # several buckets a task, so that tasks hold about as much as each other
+    n, level, done, rest = max(partitions(spark, 8), 4 * total // table_bytes), 0, [], partials
     while True:
         rest = rest.withColumn("level", F.lit(level)).withColumn(
             "bucket", F.pmod("hash", F.lit(n * FAN_OUT ** level)))
