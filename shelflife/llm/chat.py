@@ -14,7 +14,8 @@ filters come from a fixed table, and nothing is called or imported.
                  ~ (joins text), + - * / %, == != < <= > >=, in, and, or, not, x if c else y
 
 Conversations are rendered as streams: rows come ordered by conversation and turn,
-one task holds one turn at a time, and every turn becomes a row of the output.
+every turn becomes a row of the output, and one task holds one turn and the finished
+rows of a bounded batch, however long the conversation.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 from shelflife.llm.common import partitions, slices, stored
 
+FLUSH_CHARS, FLUSH_ROWS = 4 << 20, 5000  # finished rows that a rendering task holds, about
+
 # ---- control strings ---------------------------------------------------------------
 
 
@@ -469,6 +472,14 @@ def format_conversations(convs: DataFrame, template: str = TURN,
         ahead = next(rows, None)
         done: list[tuple] = []
         size = 0
+
+        def emitted():
+            nonlocal done, size
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*done), out)], schema=out)
+            done, size = [], 0
+            return batch
+
         while ahead is not None:
             conv, asked, begun = ahead[0], 0, 0
 
@@ -486,21 +497,21 @@ def format_conversations(convs: DataFrame, template: str = TURN,
             for piece, marked in compiled.render({"turns": turns()}):
                 if asked != begun and n:
                     done.append((conv, seq, "".join(text), spans))
+                    size += n
                     seq, text, spans, n = seq + 1, [], [], 0
+                    if size > FLUSH_CHARS or len(done) >= FLUSH_ROWS:
+                        yield emitted()
                 begun = asked
                 if marked:
                     spans.append([n, n + len(piece)])
                 text.append(piece)
                 n += len(piece)
-                size += len(piece)
             done.append((conv, seq, "".join(text), spans))
-            if size > 4 << 20 or len(done) > 5000:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*done), out)], schema=out)
-                done, size = [], 0
+            size += n
+            if size > FLUSH_CHARS or len(done) >= FLUSH_ROWS:
+                yield emitted()
         if done:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*done), out)], schema=out)
+            yield emitted()
 
     return _ordered(convs).mapInArrow(
         run, "conv_id long, seq long, formatted string, spans array<array<long>>")

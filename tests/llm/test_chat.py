@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -75,3 +76,40 @@ def test_round_trip(spark):
     assert len(whole) == got[1].formatted_chars
     assert len([r for r in formatted if r.conv_id == 1]) == 4  # a row for each turn
     assert C.format_and_read(df.limit(0)).count() == 0
+
+
+def rendered(turns, monkeypatch):
+    """Batches that a rendering task emits for rows in order, with the rows it had read by then."""
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(C, "_ordered", lambda convs: Rows())
+    read = 0
+
+    def batches():
+        nonlocal read
+        for i in range(0, len(turns), 1000):
+            read += len(turns[i:i + 1000])
+            yield pa.RecordBatch.from_pydict(dict(zip(
+                ("conv_id", "turn", "role", "text"), map(list, zip(*turns[i:i + 1000])))))
+    for b in C.format_conversations(None)(batches()):
+        yield b, read
+
+
+@pytest.mark.parametrize("conv", [7, None])
+def test_a_long_conversation_is_emitted_in_bounded_batches(conv, monkeypatch):
+    turns = [(conv, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(30000)]
+    got = list(rendered(turns, monkeypatch))
+    assert max(b.num_rows for b, _ in got) <= 5000 and got[0][1] < 10000
+    rows = [r for b, _ in got for r in b.to_pylist()]
+    assert [(r["conv_id"], r["seq"]) for r in rows] == [(conv, i) for i in range(30000)]
+    assert "".join(r["formatted"] for r in rows) == "".join(
+        f"<turn>{role}<says>{text}</turn>\n" for _, _, role, text in turns)
+    assert all(r["formatted"][a:z] == turns[r["seq"]][3] for r in rows for a, z in r["spans"])
+
+
+def test_long_turns_of_one_conversation_are_emitted_in_bounded_batches(monkeypatch):
+    got = list(rendered([(1, i, "user", "x" * 100_000) for i in range(400)], monkeypatch))
+    assert max(b.nbytes for b, _ in got) < 5 << 20
+    assert sum(b.num_rows for b, _ in got) == 400
