@@ -10,7 +10,9 @@ of each position.
 Counts come from all training documents, added up in each task before the shuffle.
 The trie is cut by the last bytes of the context into shards of a bounded number of
 contexts, and a scoring pass holds one shard: what is broadcast is bounded however
-large the corpus, and every position is scored in exactly one pass.
+large the corpus, and every position is scored in exactly one pass.  What escape
+estimates are learned from is added up over all contexts first, so scores do not
+depend on how many shards there are.
 
 The baseline is a word unigram.  A bounded number of most frequent words is broadcast;
 the others are joined, so no key of that join is hot.
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelflife.llm.common import key_crc, slices, stored, text_bytes, worker_cache
+from shelflife.llm.common import key_crc, partitions, slices, stored, text_bytes, worker_cache
 
 ORDER = 5               # bytes of the longest context
 LOW = 3                 # shards are cut by so many last bytes; shorter contexts go to every shard
@@ -115,6 +117,40 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class _Level:
+    """Contexts of ``k`` bytes (sorted grams), linked to the level of one byte less, if given."""
+
+    def __init__(self, grams: tuple, k: int, above: "_Level | None"):
+        ctx, self.sym, self.n = grams
+        begins = np.ones(len(ctx), bool)  # grams are sorted, so a context's stand together
+        np.not_equal(ctx[1:], ctx[:-1], out=begins[1:])
+        self.nodes = ctx[begins]
+        self.node = node = np.cumsum(begins, dtype=np.int32) - 1
+        self.size = max(1, len(self.nodes))
+        self.d = np.bincount(node, minlength=self.size)
+        self.total = np.bincount(node, self.n, minlength=self.size)
+        self.keys = (node.astype(np.int64) << 9) | self.sym
+        if above:
+            self.at = np.searchsorted(above.nodes, self.nodes & ((1 << (8 * (k - 1))) - 1))
+            self.seen_up = above.n[np.searchsorted(above.keys, (self.at[node] << 9) | self.sym)]
+            self.rest = above.total[self.at] - np.bincount(node, self.seen_up, minlength=len(self.nodes))
+            self.d_rest = above.d[self.at] - self.d
+
+    def learned(self) -> "_Escapes":
+        """From contexts as they are, leaving out one occurrence at a time."""
+        node, once, e = self.node, self.n == 1, _Escapes()
+        e.learn(self.total[node] - 1, self.d[node] - once, once, np.where(once, 1, self.n))
+        return e
+
+    def learned_after(self) -> "_Escapes":
+        """From the contexts above, without what the longer context that escaped has seen."""
+        node, once, e = self.node, self.n == 1, _Escapes()
+        e.learn((self.rest[node] + self.seen_up - 1)[once],
+                (self.d_rest[node] + (self.seen_up > 1))[once],
+                (self.seen_up == 1)[once], np.ones(once.sum()))
+        return e
+
+
 class Trie:
     """Contexts of a shard, the symbols seen after them, and their escape estimates.
 
@@ -123,11 +159,12 @@ class Trie:
     that saw a symbol once (update exclusion).  How likely a context is to meet a new
     symbol is estimated, per order, from all contexts of like count and like number of
     symbols: leaving out one occurrence at a time, a symbol seen once would have been
-    new.  The same is done for contexts reached by an escape, with what is excluded.  (Above
-    LOW bytes the estimates are from the shard's own contexts.)
+    new.  The same is done for contexts reached by an escape, with what is excluded.  For
+    orders above LOW, where a shard has its own contexts alone, ``learned`` has what was
+    learned from all of them (:func:`escapes_of_all`).
     """
 
-    def __init__(self, low: tuple, high: tuple, order: int):
+    def __init__(self, low: tuple, high: tuple, order: int, learned: dict | None = None):
         self.order = order
         grams = {min(order, LOW): low, order: high if order > LOW else low}
         for k in range(order - 1, -1, -1):
@@ -140,42 +177,30 @@ class Trie:
         self.width = w = len(seen) + 1
         keys, logp, logc, child, far, far_node = [], [], [], [], [], []
         escape, excluded, left, parent = [], [], [], []
-        base = 0
+        base, above, learned = 0, None, learned or {}
         for k in range(order + 1):
-            ctx, sym, n = grams[k]
-            begins = np.ones(len(ctx), bool)  # grams are sorted, so a context's stand together
-            np.not_equal(ctx[1:], ctx[:-1], out=begins[1:])
-            nodes, node = ctx[begins], np.cumsum(begins, dtype=np.int32) - 1
-            size = max(1, len(nodes))
-            d = np.bincount(node, minlength=size)
-            total = np.bincount(node, n, minlength=size)
-            once = n == 1
-            e = _Escapes()
-            e.learn(total[node] - 1, d[node] - once, once, np.where(once, 1, n))
-            own = e.estimate(total, d)
-            if len(ctx) == 0:
+            level = _Level(grams[k], k, above)
+            node, nodes, sym, n = level.node, level.nodes, level.sym, level.n
+            e = learned.get((k, 0)) or level.learned()
+            own = e.estimate(level.total, level.d)
+            if len(nodes) == 0:
                 own[:] = 1
             if k == 0:
                 up = np.zeros(1, np.int64)
                 out, rest = np.ones(1), np.ones(1)
             else:
-                at = np.searchsorted(parents, nodes & ((1 << (8 * (k - 1))) - 1))
+                at, rest = level.at, level.rest
                 last = (nodes >> (8 * (k - 1))) & 255
                 if k <= DENSE:
                     child[-1][at, self.column[last]] = base + np.arange(len(nodes))
                 else:
                     far.append(((p_base + at) << 9) | last)
                     far_node.append(base + np.arange(len(nodes)))
-                seen_up = p_n[np.searchsorted(p_keys, (at[node] << 9) | sym)]
-                rest = p_total[at] - np.bincount(node, seen_up, minlength=len(nodes))
-                d_rest = p_d[at] - d
-                e = _Escapes()
-                e.learn((rest[node] + seen_up - 1)[once], (d_rest[node] + (seen_up > 1))[once],
-                        (seen_up == 1)[once], np.ones(once.sum()))
-                out = np.where(d_rest > 0, e.estimate(rest, d_rest), 1.0)
+                e = learned.get((k, 1)) or level.learned_after()
+                out = np.where(level.d_rest > 0, e.estimate(rest, level.d_rest), 1.0)
                 up = p_base + at
             with np.errstate(divide="ignore"):
-                logp.append(np.log10((1 - own[node]) * n / total[node]).astype(np.float32))
+                logp.append(np.log10((1 - own[node]) * n / level.total[node]).astype(np.float32))
                 logc.append(np.log10(n).astype(np.float32))
                 escape.append(np.log10(own))
                 excluded.append(np.log10(out))
@@ -183,11 +208,10 @@ class Trie:
             keys.append(((base + node.astype(np.int64)) << 9) | sym)
             parent.append(up)
             if k < min(order, DENSE):
-                child.append(np.full((size, w), -1, np.int32))
-            parents, p_keys, p_n = nodes, (node.astype(np.int64) << 9) | sym, n
+                child.append(np.full((level.size, w), -1, np.int32))
             grams[k] = None
-            p_total, p_d, p_base = total, d, base
-            base += size
+            above, p_base = level, base
+            base += level.size
         self.n_inner = sum(map(len, child))
         # one more row, where a walk that found no child stays
         self.child = np.append(np.concatenate(child).reshape(-1) if child else [],
@@ -290,6 +314,9 @@ class _Escapes:
 
     N, D = 64, 24
 
+    def __init__(self):
+        self.new, self.all = np.zeros(self.N * self.D), np.zeros(self.N * self.D)
+
     def _cell(self, n, d):
         size = np.minimum(3 * np.log2(np.maximum(n, 1)), self.N - 1).astype(int)
         return np.clip(d, 0, self.D - 1).astype(int) * self.N + size
@@ -333,6 +360,66 @@ def _shorter(grams: DataFrame, order: int, to: int) -> DataFrame:
     return grams
 
 
+def _end() -> Column:
+    """The last LOW bytes of a gram's context."""
+    return F.shiftright("gram", 9).bitwiseAND((1 << (8 * LOW)) - 1)
+
+
+def escapes_of_all(grams: DataFrame, order: int) -> dict[tuple[int, int], _Escapes]:
+    """What is learned from all contexts of more than LOW bytes, by (order, 1 if after an escape).
+
+    Contexts of the same last LOW bytes come together, so a task sees all that a context
+    and those above it have seen; the cells, a bounded number, are whole numbers and added up.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {(k, kind): (np.zeros(_Escapes.N * _Escapes.D), np.zeros(_Escapes.N * _Escapes.D))
+                 for k in range(LOW + 1, order + 1) for kind in (0, 1)}
+
+        def learn(gram, n):
+            by = np.argsort(gram)
+            key = gram[by]
+            grams = {order: (key >> 9, (key & 511).astype(np.int16), n[by])}
+            for k in range(order - 1, LOW - 1, -1):
+                ctx, sym, _ = grams[k + 1]
+                grams[k] = _summed(ctx & ((1 << (8 * k)) - 1), sym)
+            level = _Level(grams[LOW], LOW, None)
+            for k in range(LOW + 1, order + 1):
+                level = _Level(grams[k], k, level)
+                for kind, e in enumerate((level.learned(), level.learned_after())):
+                    total[k, kind][0][:] += e.new
+                    total[k, kind][1][:] += e.all
+
+        held, size, room = [], 0, FLUSH
+        for b in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            size += b.num_rows
+            if size > room:  # all but the last end are whole
+                end, gram, n = map(np.concatenate, zip(*held))
+                cut = np.searchsorted(end, end[-1])
+                if cut:
+                    learn(gram[:cut], n[:cut])
+                held, size = [[end[cut:], gram[cut:], n[cut:]]], len(end) - cut
+                room = max(FLUSH, 2 * size)
+        if size:
+            _, gram, n = map(np.concatenate, zip(*held))
+            learn(gram, n)
+        for (k, kind), (new, every) in total.items():
+            cell = np.flatnonzero(every)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(cell), k)), pa.array(np.full(len(cell), kind)), pa.array(cell),
+                 pa.array(new[cell].astype(np.int64)), pa.array(every[cell].astype(np.int64))],
+                names=["k", "kind", "cell", "new", "every"])
+
+    rows = grams.select(_end().alias("end"), "gram", "n").repartition(
+        partitions(grams.sparkSession), "end").sortWithinPartitions("end")
+    cells = rows.mapInArrow(run, "k long, kind long, cell long, new long, every long").groupBy(
+        "k", "kind", "cell").agg(F.sum("new").alias("new"), F.sum("every").alias("every"))
+    out = {(k, kind): _Escapes() for k in range(LOW + 1, order + 1) for kind in (0, 1)}
+    for r in cells.collect():
+        out[r.k, r.kind].new[r.cell], out[r.k, r.kind].all[r.cell] = r.new, r.every
+    return out
+
+
 def shards(grams: DataFrame, order: int, max_contexts: int) -> list[np.ndarray | None]:
     """Last bytes (LOW of them, as numbers) that make up each shard; None is all of them."""
     if order <= LOW:
@@ -388,27 +475,28 @@ def score(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
     low = _arrays(_shorter(grams, order, min(order, LOW)))
 
     def model(mine, first):
-        own, ends = grams, F.shiftright("gram", 9).bitwiseAND((1 << (8 * LOW)) - 1)
+        own = grams
         if mine is not None:
             names = spark.createDataFrame([(int(p),) for p in mine], "end long")
-            own = grams.join(names, F.col("end") == ends, "left_semi")
+            own = grams.join(names, F.col("end") == _end(), "left_semi")
         high = _arrays(own) if order > LOW else None
-        return _Model(spark.sparkContext.broadcast((low, high, mine, first)))
+        return _Model(spark.sparkContext.broadcast((low, high, mine, first, learned)))
 
     def trie(bc) -> Trie:
         cache = worker_cache()
         if cache.get("ppm") != bc.id_key:
             cache["ppm_trie"] = None
-            low, high, mine, first = bc.value
+            low, high, mine, first, learned = bc.value
             marks = None
             if mine is not None:  # ends without longer contexts are scored in the first pass
                 marks = np.full(1 << (8 * LOW), first is not None)
                 marks[mine if first is None else first] = first is None
-            cache["ppm_trie"] = Trie(low, high, order), marks
+            cache["ppm_trie"] = Trie(low, high, order, learned), marks
             cache["ppm"] = bc.id_key
         return cache["ppm_trie"]
 
     marks = shards(grams, order, max_contexts)
+    learned = escapes_of_all(grams, order) if len(marks) > 1 else None
     # positions whose last bytes are in no shard have short contexts alone: the first pass
     # scores whatever the later ones do not
     others = np.concatenate(marks[1:]) if len(marks) > 1 else None

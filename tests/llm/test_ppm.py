@@ -79,6 +79,17 @@ def test_shards_score_every_position_once(spark):
         assert many[d] == pytest.approx(one[d], rel=0.1)
 
 
+@pytest.mark.parametrize("order,contexts,flush", [(4, 4000, 1 << 20), (5, 3000, 500)])
+def test_scores_do_not_depend_on_the_number_of_shards(spark, monkeypatch, order, contexts, flush):
+    monkeypatch.setattr(P, "FLUSH", flush)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(40)
+    one = {r.doc_id: r.score for r in P.score(docs, order).collect()}
+    many = {r.doc_id: r.score for r in P.score(docs, order, contexts).collect()}
+    assert one.keys() == many.keys()
+    off = max(abs(many[d] / one[d] - 1) for d in one)
+    assert off < 1e-9, off
+
+
 def test_empty(spark):
     assert P.score(empty(spark)).count() == 0
     lone = P.score(documents(spark, [ROWS[0]] * 2)).collect()
