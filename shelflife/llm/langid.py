@@ -203,25 +203,33 @@ def held_out(col: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Network | None:
-    """Train on about ``sample_rows`` labelled documents of each language, held-out ones apart.
+    """Train on about ``sample_rows`` distinct labelled texts of each language, held-out ones apart.
 
-    The share of a language is set from its count; which documents are drawn, and which
-    SAMPLE_CHARS of them, follows from a hash of the text.  None if nothing is labelled.
+    The share of a language is set from its count of distinct texts; which of them are
+    drawn, and which SAMPLE_CHARS of each, follows from a hash of the text, so copies
+    count once.  None if nothing is labelled.
     """
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    # copies are folded before the shuffle, and only hashes go through it
+    key = F.xxhash64("text")
+    distinct = known.select("lang", key.alias("key")).distinct()
+    counts = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}
     if not counts:
         return None
     langs = sorted(counts)
     share = F.create_map(*[F.lit(x) for k in langs
                            for x in (k, min(1.0, sample_rows / counts[k]))])
-    h = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    h = F.pmod(key, F.lit(1 << 30))
     start = 1 + F.pmod(F.xxhash64("text", F.lit(1)),
                        F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1)
     sample = known.filter(h < share[F.col("lang")] * (1 << 30)).select(
-        "lang", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("part"))
-    rows = sorted((r["lang"], r["part"]) for r in
-                  sample.limit(4 * sample_rows * len(langs)).collect())
+        "lang", key.alias("key"),
+        F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("part"))
+    # about sample_rows a language by the share, and no more than four times that by hash order
+    drawn: dict[str, list] = {k: [] for k in langs}
+    for r in sample.distinct().collect():
+        drawn[r["lang"]].append((r["key"] % (1 << 30), r["key"], r["part"]))
+    rows = sorted((k, part) for k in langs for _, _, part in sorted(drawn[k])[:4 * sample_rows])
     number = {k: i for i, k in enumerate(langs)}
     net = Network(langs)
     if len(langs) > 1:

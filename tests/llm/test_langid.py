@@ -77,3 +77,19 @@ def test_nothing_labelled(spark):
     docs = documents(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in L.languages(docs).collect()} == {"und"}
     assert L.languages(empty(spark)).count() == 0
+
+
+def test_training_texts_are_distinct_whatever_is_copied(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    got = {}
+    monkeypatch.setattr(L.Network, "train", lambda net, texts, labels: got.update(
+        {k: sorted(t for t, y in zip(texts, labels) if net.langs[y] == k) for k in net.langs}))
+    copies = spark.range(60000).select(F.col("id").alias("doc_id"), F.lit("one text").alias("text"))
+    others = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    docs = copies.unionByName(others).withColumn("lang", F.lit("a")).unionByName(
+        others.withColumn("lang", F.lit("b")))
+    L.fit(docs)
+    own = sorted(r.text.encode() for r in others.filter(~L.held_out()).collect())
+    assert got == {"a": sorted([b"one text", *own]), "b": own}
+    L.fit(docs, 20)
+    assert all(5 < len(x) <= 80 and len(set(x)) == len(x) for x in got.values())
