@@ -282,6 +282,12 @@ def languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents that get a language, all their columns; ``und`` ones go."""
-    out = predict(docs, fit(docs), ["*"])
+    """The documents that get a language, all their columns; ``und`` ones go.
+
+    When no language was learned, only texts that are null or have no letter go.
+    """
+    net = fit(docs)
+    if net is None:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    out = predict(docs, net, ["*"])
     return out.filter(F.col("lang_pred") != "und").select("rec.*")

@@ -93,3 +93,13 @@ def test_training_texts_are_distinct_whatever_is_copied(spark, monkeypatch):
     assert got == {"a": sorted([b"one text", *own]), "b": own}
     L.fit(docs, 20)
     assert all(5 < len(x) <= 80 and len(set(x)) == len(x) for x in got.values())
+
+
+def test_the_stage_keeps_texts_when_nothing_is_labelled(spark):
+    from pyspark.sql import functions as F
+    labelled = documents(spark)
+    kept = L.keep_identified(labelled.withColumn("lang", F.lit(None).cast("string")))
+    assert kept.columns == labelled.columns
+    assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(
+        str(r[0]) for r in ROWS if r[1] and r[0] not in (4, 5, 7))
+    assert L.keep_identified(empty(spark)).count() == 0
