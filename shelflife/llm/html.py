@@ -31,7 +31,8 @@ BOILER = BOX  # in labels: a box, or the inside of one where the parent is boile
 
 # Elements of the markup language by how a parser treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe xmp noembed noframes svg math title textarea".split())
+RAW = frozenset("script style noscript template iframe xmp noembed noframes svg title textarea".split())
+FOREIGN = ("svg", "math")  # a slash at the end of the tag makes these two empty
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li "
@@ -97,6 +98,8 @@ class Page:
                 self._close(m["end"].lower())
             elif m["start"] and m["close"]:
                 tag = m["start"].lower()
+                if tag in FOREIGN and m["attrs"].endswith("/"):
+                    continue
                 if tag in RAW:
                     end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                     at = end.end() if end else n

@@ -31,6 +31,20 @@ CASES = [
 ]
 
 
+FOREIGN_CASES = [
+    ('<article><p>One.</p><svg width="9" /><p>Two.</p></article>', "One.\nTwo."),
+    ('<article><p>One <SVG/>and <math/>two.</p><svg><text>drawn</text></svg><p>Three.</p></article>',
+     "One and two.\nThree."),
+    ('<article><p>Let <math display="inline"><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></math> hold.</p>'
+     '<p>Then it ends.</p></article>', "Let x=2 hold.\nThen it ends."),
+]
+
+
+@pytest.mark.parametrize("page,want", FOREIGN_CASES)
+def test_svg_and_math(page, want):
+    assert H.extract(page, MODEL) == want
+
+
 @pytest.mark.parametrize("page,want", CASES)
 def test_main_text(page, want):
     assert H.extract(page, MODEL) == want
