@@ -78,3 +78,17 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
        sha256(loss) AS loss_sha256, formatted_chars
 FROM g
 """
+
+OP13 = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.row, a.vec_id AS query_id, b.vec_id AS vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.row <> b.row)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM s)
+WHERE rank <= 10
+"""

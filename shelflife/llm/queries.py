@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflife.llm import chat, dedup, html, huffman, iblt, langid, mixing, oracles, packing, ppm, simhash
+from shelflife.llm import chat, dedup, html, huffman, iblt, langid, mixing, oracles, packing, ppm, simhash, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -76,8 +76,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
 
 
+def op13_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best of all vectors for every hundredth one."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
+
+
 QUERIES = (op1_html_model, op2_language, op3_grace_dedup, op4_token_files, op5_iblt_fingerprints, op6_best_fit_packing, op7_pareto_mixing,
-           op8_chat_template, op9_ppm, op10_simhash)
+           op8_chat_template, op9_ppm, op10_simhash, op13_histogram_topk)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -86,4 +91,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracles() -> dict[str, str]:
     return {"op3_grace_dedup": oracles.OP3, "op7_pareto_mixing": oracles.OP7,
-            "op8_chat_template": oracles.OP8}
+            "op8_chat_template": oracles.OP8,
+            "op13_histogram_topk": oracles.OP13}
