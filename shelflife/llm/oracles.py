@@ -79,6 +79,70 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 FROM g
 """
 
+# crc32 of the decimal text of an id, byte by byte through the table of the polynomial
+CRC = r"""
+crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)),
+           lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+crc AS (
+  SELECT doc_id, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, length(id) + 1), lambda k: ascii(substr(id, k, 1))::BIGINT)),
+           lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))) AS crc
+  FROM (SELECT DISTINCT doc_id, coalesce(doc_id::VARCHAR, '') AS id FROM documents), crc_table)
+"""
+
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+OP11 = rf"""
+WITH RECURSIVE {CRC},
+d AS (
+  SELECT row_number() OVER () AS row, doc_id, source, sha256({_HEAD} || {_FIELD.format("text")}) AS leaf,
+         sha256({_HEAD} || {_FIELD.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS lower_leaf
+  FROM documents),
+l AS (
+  SELECT row, d.doc_id, source, leaf, CASE WHEN crc % 5 = 0 THEN lower_leaf ELSE leaf END AS shown,
+         row_number() OVER (PARTITION BY source ORDER BY d.doc_id NULLS FIRST, leaf, row) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM d JOIN crc ON d.doc_id IS NOT DISTINCT FROM crc.doc_id),
+nodes AS (
+  SELECT source, 0 AS level, pos, n, leaf AS digest FROM l
+  UNION ALL
+  SELECT source, level + 1, pos // 16, any_value((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY source, level, pos // 16),
+sub AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, place AS pos, n, subroot AS digest FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 16, any_value((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY level, pos // 16),
+beside AS (
+  SELECT source, level, pos, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes WHERE n > 1 WINDOW run AS (PARTITION BY source, level, pos // 16 ORDER BY pos)),
+beside_top AS (
+  SELECT level, pos, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM tops WHERE n > 1 WINDOW run AS (PARTITION BY level, pos // 16 ORDER BY pos)),
+walk AS (
+  SELECT row, source, 0 AS level, pos, shown AS digest, '' AS proof FROM l
+  UNION ALL
+  SELECT row, w.source, w.level + 1, w.pos // 16, sha256(before || digest || after), proof || before || after
+  FROM walk w JOIN beside b ON w.source IS NOT DISTINCT FROM b.source AND w.level = b.level AND w.pos = b.pos),
+walk_top AS (
+  SELECT row, 0 AS level, place AS pos, max_by(digest, level) AS digest, max_by(proof, level) AS proof
+  FROM walk JOIN sub ON walk.source IS NOT DISTINCT FROM sub.source GROUP BY row, place
+  UNION ALL
+  SELECT row, w.level + 1, w.pos // 16, sha256(before || digest || after), proof || before || after
+  FROM walk_top w JOIN beside_top b ON w.level = b.level AND w.pos = b.pos),
+f AS (
+  SELECT row, max_by(digest, level) AS folded_root, sha256(max_by(proof, level)) AS proof_sha256 FROM walk_top GROUP BY row)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN f USING (row) JOIN sub ON l.source IS NOT DISTINCT FROM sub.source,
+     (SELECT digest AS root FROM tops WHERE n = 1)
+"""
+
 OP13 = r"""
 WITH v AS (
   SELECT row_number() OVER () AS row, vec_id,

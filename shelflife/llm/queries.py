@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelflife.llm import chat, dedup, html, huffman, iblt, langid, mixing, oracles, packing, ppm, simhash, topk
+from shelflife.llm import chat, common, dedup, html, huffman, iblt, langid, merkle, mixing, oracles, packing, ppm, simhash, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -76,13 +77,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), n_words=3, radius=2)
 
 
+# What the lower-casing of A-Z changes.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, a fifth of them tampered with."""
+    return merkle.document_proofs(_table(spark, sf_dir, "documents"), tampered=common.key_crc() % 5 == 0,
+                                  changed=F.translate("text", UPPER, LOWER))
+
+
 def op13_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best of all vectors for every hundredth one."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
 
 
 QUERIES = (op1_html_model, op2_language, op3_grace_dedup, op4_token_files, op5_iblt_fingerprints, op6_best_fit_packing, op7_pareto_mixing,
-           op8_chat_template, op9_ppm, op10_simhash, op13_histogram_topk)
+           op8_chat_template, op9_ppm, op10_simhash, op11_merkle_manifest,
+           op13_histogram_topk)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -92,4 +104,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def llm_oracles() -> dict[str, str]:
     return {"op3_grace_dedup": oracles.OP3, "op7_pareto_mixing": oracles.OP7,
             "op8_chat_template": oracles.OP8,
-            "op13_histogram_topk": oracles.OP13}
+            "op11_merkle_manifest": oracles.OP11, "op13_histogram_topk": oracles.OP13}
