@@ -143,6 +143,47 @@ FROM l JOIN f USING (row) JOIN sub ON l.source IS NOT DISTINCT FROM sub.source,
      (SELECT digest AS root FROM tops WHERE n = 1)
 """
 
+# A run of n >= max(24, 3q) words holds a stretch of n - q >= 16 words that comes again q
+# words later: equal 16-word passages of a document are joined, neighbours put together.
+OP12 = rf"""
+WITH {CRC},
+c AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS raw,
+         len(raw) AS n, crc % 10 = 0 AND n > 0 AS echo, crc // 10 AS g, g % greatest(n, 1) AS a, 1 + (n - a) // (3 + g % 8) AS p
+  FROM documents JOIN crc USING (doc_id)),
+d AS (
+  SELECT row, doc_id, n, CASE WHEN echo THEN list_transform(range(n), lambda i: raw[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+                              ELSE raw END AS words
+  FROM c),
+w AS (
+  SELECT row, n, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS i FROM d WHERE n >= 24),
+gram AS (
+  SELECT row, n, i, string_agg(word, ' ') OVER (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS gram FROM w),
+pair AS (
+  SELECT x.row, x.i, y.i - x.i AS q
+  FROM gram x JOIN gram y ON x.row = y.row AND x.gram = y.gram AND x.i < y.i AND 3 * (y.i - x.i) <= x.n
+  WHERE x.i + 16 <= x.n AND y.i + 16 <= x.n),
+island AS (
+  SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM pair),
+stretch AS (
+  SELECT row, q, min(i) AS start, max(i) + 16 + q - min(i) AS length FROM island GROUP BY row, q, island),
+run AS (
+  SELECT row, start, length, min(q) AS period FROM stretch WHERE length >= greatest(24, 3 * q) GROUP BY row, start, length),
+best AS (
+  SELECT * FROM run a WHERE NOT EXISTS (
+    SELECT 1 FROM run b WHERE a.row = b.row AND (b.length * a.period > a.length * b.period OR (
+      b.length * a.period = a.length * b.period AND (b.start, b.period) < (a.start, a.period))))),
+of_doc AS (
+  SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         list({{'a': start + period, 'b': start + length}}) AS cuts
+  FROM run GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(array_to_string(list_filter(words, lambda x, i: NOT coalesce(list_bool_or(list_transform(cuts,
+         lambda r: i - 1 >= r.a AND i - 1 < r.b)), false)), ' '), '')) AS collapsed_sha256
+FROM d LEFT JOIN of_doc USING (row) LEFT JOIN best USING (row)
+"""
+
 OP13 = r"""
 WITH v AS (
   SELECT row_number() OVER () AS row, vec_id,

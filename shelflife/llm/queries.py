@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflife.llm import chat, common, dedup, html, huffman, iblt, langid, merkle, mixing, oracles, packing, ppm, simhash, topk
+from shelflife.llm import chat, common, dedup, html, huffman, iblt, langid, merkle, mixing, oracles, packing, ppm, runs, simhash, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -87,6 +87,20 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   changed=F.translate("text", UPPER, LOWER))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of all documents, a tenth of them made to repeat themselves."""
+    found = runs.periodic_runs(runs.echoed(_table(spark, sf_dir, "documents"), common.key_crc()))
+    # the most periods; runs come by start and period, so ties stay with the first
+    more = lambda r, best: r["length"] * best["period"] > best["length"] * r["period"]
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(more(r, b), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best of all vectors for every hundredth one."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
@@ -94,7 +108,7 @@ def op13_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_html_model, op2_language, op3_grace_dedup, op4_token_files, op5_iblt_fingerprints, op6_best_fit_packing, op7_pareto_mixing,
            op8_chat_template, op9_ppm, op10_simhash, op11_merkle_manifest,
-           op13_histogram_topk)
+           op12_periodic_runs, op13_histogram_topk)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -104,4 +118,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def llm_oracles() -> dict[str, str]:
     return {"op3_grace_dedup": oracles.OP3, "op7_pareto_mixing": oracles.OP7,
             "op8_chat_template": oracles.OP8,
-            "op11_merkle_manifest": oracles.OP11, "op13_histogram_topk": oracles.OP13}
+            "op11_merkle_manifest": oracles.OP11, "op12_periodic_runs": oracles.OP12,
+            "op13_histogram_topk": oracles.OP13}
