@@ -299,7 +299,8 @@ def build(rows: DataFrame) -> Manifest:
     spark = rows.sparkSession
     tree = F.when(F.col("key").isNull(), F.lit(b"")).otherwise(F.concat(F.lit(b"="), F.col("key").cast("binary")))
     member = F.struct(F.col("id").cast("long").alias("id"), F.col("other").alias("other"))
-    named = rows.select(tree.alias("tree"), "digest", member.alias("member"))
+    # stored first: dealing by ranges reads its input twice, and that must not be the texts
+    named = stored(rows.select(tree.alias("tree"), "digest", member.alias("member")), "merkle-digests")
     order = [F.col(c).asc_nulls_first() for c in ("member.id", "digest", "member.other")]
     closed = _close_blocks(_numbered(named, order, "merkle-leaves"), "merkle-runs")
     above, roots = _above(closed)
