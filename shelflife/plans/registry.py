@@ -98,7 +98,7 @@ def file_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish a validated new version of all nine tables; report its row counts."""
     root = A.scratch_path(spark, "store")
-    A.full_refresh(spark, staged_tables(spark, sf_dir), root)
+    A.full_refresh(spark, staged_tables(spark, sf_dir), root, unit="year")
     return B.post_load_counts(A.load_current(spark, root))
 
 

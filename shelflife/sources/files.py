@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from shelflife.operators.common import union_all
 from shelflife.schemas import SCHEMAS, TABLE_NAMES
 from shelflife.session import scratch_path  # noqa: F401
+from shelflife.sources.store import Store, forget_store, load_store, save_store
 from shelflife.tables import Tables
 
 NOT_FOUND = "NOT FOUND"
@@ -136,7 +137,8 @@ def violations(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_root: str,
-                 validate: bool = True, keep: int = 2) -> Tables:
+                 validate: bool = True, keep: int = 2, unit: str = "month",
+                 buckets: int | None = None) -> Store:
     """Replace all nine tables with a new extract, validate, then publish.
 
     The new version is written to its own folder under ``target_root``; keys, NOT
@@ -145,16 +147,17 @@ def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_ro
     Readers take the latest row, so they never see a half-loaded or invalid version,
     and the publish step (a new file in an append-only log) never leaves a moment
     without a valid pointer.  A rejected version is removed; of the published ones
-    the latest ``keep`` stay.  Returns the published tables.
+    the latest ``keep`` stay.  Facts are partitioned by the ``unit`` of their date, sales
+    and bridge bucketed (:mod:`shelflife.sources.store`).  Returns the published tables.
     """
     import time
 
     root = target_root.rstrip("/")
     version = f"{root}/v-{uuid.uuid4().hex[:12]}"
-    save_parquet(source, version)
+    save_store(spark, source, version, unit, buckets)
     if validate:
         # at most one row per constraint
-        found = violations(load_parquet(spark, version)).orderBy("problem").collect()
+        found = violations(load_store(spark, version)).orderBy("problem").collect()
         if found:
             _remove(spark, version)
             raise RefreshFailed([f"{r.problem} ({r.rows})" for r in found])
@@ -166,6 +169,7 @@ def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_ro
 
 
 def _remove(spark: SparkSession, path: str) -> None:
+    forget_store(spark, path)
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -176,10 +180,11 @@ def _published(spark: SparkSession, root: str) -> DataFrame:
     return log.orderBy(F.desc("published_ns"))
 
 
-def load_current(spark: SparkSession, target_root: str) -> Tables:
-    """The tables of the version most recently published by :func:`full_refresh`."""
+def load_current(spark: SparkSession, target_root: str) -> Store:
+    """The tables of the version most recently published by :func:`full_refresh`, in the
+    layout that they were written in, also in a session that did not write them."""
     root = target_root.rstrip("/")
-    return load_parquet(spark, _published(spark, root).first()["version"])
+    return load_store(spark, _published(spark, root).first()["version"])
 
 
 def table_preview(df: DataFrame, order_by: list[str], n: int = 10,

@@ -7,6 +7,8 @@ from shelflife.sources import files as A
 from shelflife.sources.fixture import dirty_tables
 from tests.conftest import rows
 
+SMALL = {"unit": "year", "buckets": 2}     # few files for few rows
+
 
 def test_csv_round_trip(spark, small):
     folder = A.scratch_path(spark, "test-csv")
@@ -30,7 +32,7 @@ def test_file_row_counts_not_found(spark, small):
 @pytest.fixture(scope="module")
 def store(spark, small):
     root = A.scratch_path(spark, "test-store")
-    A.full_refresh(spark, small, root)
+    A.full_refresh(spark, small, root, **SMALL)
     return root
 
 
@@ -57,7 +59,7 @@ def spoiled(t, defect):
 def test_full_refresh_rejects(spark, small, store, defect, said):
     before = A.load_current(spark, store)["fact_sales"].inputFiles()
     with pytest.raises(A.RefreshFailed) as e:
-        A.full_refresh(spark, spoiled(small, defect), store)
+        A.full_refresh(spark, spoiled(small, defect), store, **SMALL)
     assert any(said in p for p in e.value.problems)
     # the failed load did not move the pointer
     assert A.load_current(spark, store)["fact_sales"].inputFiles() == before
@@ -66,14 +68,14 @@ def test_full_refresh_rejects(spark, small, store, defect, said):
 def test_refresh_names_every_broken_constraint(spark, small, store):
     found = A.violations(dirty_tables(small)).collect()
     with pytest.raises(A.RefreshFailed) as e:
-        A.full_refresh(spark, dirty_tables(small), store)
+        A.full_refresh(spark, dirty_tables(small), store, **SMALL)
     assert len(e.value.problems) == len(found) > 3
 
 
 def test_refresh_keeps_the_latest_versions(spark, small):
     root = A.scratch_path(spark, "test-keep")
     for _ in range(3):
-        published = A.full_refresh(spark, small, root, validate=False, keep=2)
+        published = A.full_refresh(spark, small, root, validate=False, keep=2, **SMALL)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
