@@ -74,6 +74,21 @@ def expiry_by_receipt(t: Tables) -> DataFrame:
     )
 
 
+def lot_position(lots: DataFrame, bridge: DataFrame, adjustments: DataFrame) -> DataFrame:
+    """Per lot of ``lots``: received, sold (from the bridge), written off as expired, what is left."""
+    sold = bridge.groupBy("batch_id").agg(F.sum("quantity_from_batch").alias("us"))
+    wo = _expired_per_batch(adjustments, "wo")
+    sold_n = F.coalesce(F.col("us"), F.lit(0))
+    wo_n = F.coalesce(F.col("wo"), F.lit(0))
+    return (
+        lots.join(sold, "batch_id", "left").join(wo, "batch_id", "left")
+        .select("batch_id", "product_id", "warehouse_id", "receipt_date", "expiry_date",
+                "quantity_received", "purchase_price_per_unit",
+                sold_n.alias("total_units_sold"), wo_n.alias("total_units_written_off"),
+                (F.col("quantity_received") - sold_n - wo_n).alias("current_stock"))
+    )
+
+
 def batch_position(t: Tables, as_of=DEFAULT_AS_OF, adjustments: DataFrame | None = None) -> DataFrame:
     """Per batch: received, sold (from the bridge), written off as expired, current stock.
 
@@ -83,26 +98,16 @@ def batch_position(t: Tables, as_of=DEFAULT_AS_OF, adjustments: DataFrame | None
     """
     r = t["fact_goods_receipts"].where(F.col("expiry_date") > as_date(as_of))
     ids = r.select("batch_id")
-    sold = (t["fact_sale_batch_map"].join(ids, "batch_id", "left_semi").groupBy("batch_id")
-            .agg(F.sum("quantity_from_batch").alias("us")))
     adj = adjustments if adjustments is not None else t["fact_inventory_adjustments"]
-    wo = _expired_per_batch(adj.join(ids, "batch_id", "left_semi"), "wo")
-    sold_n = F.coalesce(F.col("us"), F.lit(0))
-    wo_n = F.coalesce(F.col("wo"), F.lit(0))
-    stock = F.col("quantity_received") - sold_n - wo_n
-    return (
-        r.join(sold, "batch_id", "left").join(wo, "batch_id", "left")
-        .select("batch_id", "product_id", "warehouse_id", "receipt_date", "expiry_date",
-                "quantity_received", "purchase_price_per_unit",
-                sold_n.alias("total_units_sold"), wo_n.alias("total_units_written_off"),
-                stock.alias("current_stock"))
-        .where(F.col("current_stock") > 0)
-    )
+    return lot_position(r, t["fact_sale_batch_map"].join(ids, "batch_id", "left_semi"),
+                        adj.join(ids, "batch_id", "left_semi")).where(F.col("current_stock") > 0)
+
 
+def inventory_aging(t: Tables, as_of=DEFAULT_AS_OF, position: DataFrame | None = None) -> DataFrame:
+    """Open batches at ``as_of`` with stock, days to expiry and age band.
 
-def inventory_aging(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """Open batches at ``as_of`` with stock, days to expiry and age band."""
-    b = batch_position(t, as_of)
+    ``position`` replaces :func:`batch_position` where it is stored."""
+    b = batch_position(t, as_of) if position is None else position
     days = days_until(F.col("expiry_date"), as_of)
     return (
         b.join(_products(t, "category"), "product_id")

@@ -9,6 +9,7 @@ model loads its tables once and queries the loaded copy.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,10 @@ from shelflife.operators import quality as E
 from shelflife.operators import staging as J
 from shelflife.operators.common import union_all
 from shelflife.schemas import SCHEMAS, TABLE_NAMES
+from shelflife.sources import allocation_steps, balances
 from shelflife.sources import files as A
 from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, odd_tables, staged_tables
+from shelflife.sources.store import Store
 
 # The fixture's product categories (columns of the heatmap) and
 # the ones treated as needing cold storage (every category but STANDARD).
@@ -102,6 +105,58 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.post_load_counts(A.load_current(spark, root))
 
 
+# ---- the published store: one refresh a session, then queries over its layout ---------
+
+_PUBLISHED: dict[tuple[str, str], tuple[Store, str]] = {}
+
+
+def published(spark: SparkSession, sf_dir: str) -> tuple[Store, str]:
+    """A published version of the nine tables and the folder of its lot balances."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _PUBLISHED:
+        root = A.scratch_path(spark, "published")
+        store = A.full_refresh(spark, staged_tables(spark, sf_dir), root, validate=False, unit="year")
+        balances.build(store, f"{root}/balances")
+        _PUBLISHED[key] = store, f"{root}/balances"
+    return _PUBLISHED[key]
+
+
+def gross_margin_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7b over the published store: sales and bridge are joined bucket by bucket."""
+    return K.gross_margin_allocated(published(spark, sf_dir)[0])
+
+
+def stock_on_hand_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 from the snapshot and the movements of one period."""
+    store, root = published(spark, sf_dir)
+    return balances.stock_on_hand(spark, root, FIXTURE_AS_OF, store.unit)
+
+
+def expiry_writeoffs_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 from the lots that ran out of time in each period."""
+    store, root = published(spark, sf_dir)
+    return balances.expiry_writeoffs(spark, root, FIXTURE_AS_OF, store.unit)
+
+
+def inventory_aging_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 from the stored positions of the lots by the period of their expiry."""
+    store, root = published(spark, sf_dir)
+    return J.inventory_aging(store, FIXTURE_AS_OF, balances.positions(spark, root, FIXTURE_AS_OF, store.unit))
+
+
+# Ends of the steps that the fixture's days are allocated in.
+ALLOCATION_STEPS = (dt.date(1994, 7, 1), dt.date(1996, 7, 1), dt.date(2100, 1, 1))
+
+
+def batch_allocation_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10b in steps: each reads its own periods and the open lots that the last one left."""
+    store, _ = published(spark, sf_dir)
+    root = A.scratch_path(spark, "steps")
+    for end in ALLOCATION_STEPS:
+        allocation_steps.step(store, root, end)
+    return allocation_steps.allocated(spark, root)
+
+
 def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First 10 enriched sales in sale_id order."""
     return A.table_preview(J.sales_enriched(staged_tables(spark, sf_dir)), ["sale_id"], 10)
@@ -195,6 +250,12 @@ def _queries() -> dict[str, Query]:
         "file_row_counts": file_row_counts,
         "full_refresh": full_refresh,
         "table_preview": table_preview,
+        # the published store and its lot balances
+        "gross_margin_published": gross_margin_published,
+        "stock_on_hand_snapshot": stock_on_hand_snapshot,
+        "expiry_writeoffs_snapshot": expiry_writeoffs_snapshot,
+        "inventory_aging_snapshot": inventory_aging_snapshot,
+        "batch_allocation_stepwise": batch_allocation_stepwise,
         # L: dashboard marts
         "kpi_executive": _q(L.kpi_executive),
         "revenue_by_month": _q(L.revenue_by_month),
