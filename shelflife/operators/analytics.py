@@ -16,19 +16,11 @@ from pyspark.sql.window import Window
 
 from shelflife.functions.dates import DEFAULT_AS_OF, age_band, band_rank, days_until
 from shelflife.functions.money import CUM_MONEY, MONEY, RATE, pct, ratio_half_up
-from shelflife.operators.common import Tables, expiry_rows, warehouses
+from shelflife.operators.cells import reduced
+from shelflife.operators.common import Tables, warehouses
 from shelflife.operators.staging import batch_position
 
 
-
-def _q() -> Column:
-    return F.col("quantity_sold")
-
-
-def _price() -> Column:
-    return F.col("selling_price_per_unit")
-
-
 def _products(t: Tables, *cols: str) -> DataFrame:
     return t["dim_products"].select("product_id", *cols)
 
@@ -47,10 +39,8 @@ def _expiry_by_product_warehouse(t: Tables) -> DataFrame:
 
     Same rows as filtering the enriched adjustments view on 'Expiry'.
     """
-    e = (expiry_rows(t).groupBy("warehouse_id", "product_id")
-         .agg(F.count(F.lit(1)).alias("events"), F.sum("quantity_adjusted").alias("units")))
     return (
-        e.join(_products(t, "category", "base_cost"), "product_id")
+        reduced(t, "expiry").join(_products(t, "category", "base_cost"), "product_id")
         .join(warehouses(t, "warehouse_id", "warehouse_name", "region"), "warehouse_id")
         .withColumn("cost", F.col("units") * F.col("base_cost"))
     )
@@ -131,11 +121,7 @@ def stockout_rate(t: Tables) -> DataFrame:
 def receipts_reduced(t: Tables, *keys: Column | str) -> DataFrame:
     """Receipts of known products and warehouses, reduced to (supplier, product, warehouse,
     ``keys``) before the dimensions are tested: count, units, and price sum, max, min."""
-    p = F.col("purchase_price_per_unit")
-    r = t["fact_goods_receipts"].groupBy("supplier_id", "product_id", "warehouse_id", *keys).agg(
-        F.count(F.lit(1)).alias("receipts"), F.sum("quantity_received").alias("units"),
-        F.sum(p).alias("price_sum"), F.count(p).alias("priced"),
-        F.max(p).alias("price_max"), F.min(p).alias("price_min"))
+    r = reduced(t, "receipts", *keys)
     return (r.join(_products(t), "product_id", "left_semi")
             .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi"))
 
@@ -181,15 +167,8 @@ def supplier_cost_volatility(t: Tables) -> DataFrame:
 
 # ---- margin ------------------------------------------------------------------
 
-def _margin(t: Tables, revenue_expr, by_year: bool) -> DataFrame:
-    s = t["fact_sales"].select("sale_id", "sale_date", "warehouse_id", "product_id",
-                               "quantity_sold", "selling_price_per_unit")
-    b = t["fact_sale_batch_map"].select("sale_id", "quantity_from_batch", "unit_cost_at_sale")
-    keys = ["warehouse_id", "product_id"]
-    per = (s.join(b, "sale_id")
-           .groupBy(*keys, *_month("sale_date", by_year))
-           .agg(F.sum(revenue_expr).alias("rev"),
-                F.sum(F.col("quantity_from_batch") * F.col("unit_cost_at_sale")).alias("cost")))
+def _margin(t: Tables, revenue: str, by_year: bool) -> DataFrame:
+    per = reduced(t, "margin", *_month("sale_date", by_year)).withColumn("rev", F.col(revenue))
     month_cols = ["sale_year", "sale_month"] if by_year else ["sale_month"]
     g = (per.join(_products(t, "category"), "product_id")
          .join(warehouses(t, "warehouse_id"), "warehouse_id")
@@ -213,20 +192,18 @@ def gross_margin_by_category_month(t: Tables, by_year: bool = False) -> DataFram
     :func:`gross_margin_allocated` for the corrected measure.  ``MONTH()``
     merges years unless ``by_year``.
     """
-    return _margin(t, _q() * _price(), by_year)
+    return _margin(t, "sale_rev", by_year)
 
 
 def gross_margin_allocated(t: Tables, by_year: bool = False) -> DataFrame:
     """As K7 with revenue allocated by batch quantity (no double count)."""
-    return _margin(t, F.col("quantity_from_batch") * _price(), by_year)
+    return _margin(t, "rev", by_year)
 
 
 # ---- warehouses --------------------------------------------------------------
 
 def _warehouse_summaries(t: Tables) -> DataFrame:
-    sales = (t["fact_sales"].groupBy("warehouse_id", "product_id")
-             .agg(F.sum(_q() * _price()).alias("rev"))
-             .join(_products(t), "product_id")
+    sales = (reduced(t, "sales").join(_products(t), "product_id")
              .groupBy("warehouse_id").agg(F.sum("rev").cast(MONEY).alias("total_revenue")))
     w = warehouses(t, "warehouse_id", "warehouse_name", "region")
     expiry = (_expiry_by_product_warehouse(t).groupBy("warehouse_id")
@@ -303,8 +280,7 @@ def inventory_aging_summary_sorted(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
 # ---- running totals ----------------------------------------------------------
 
 def _monthly_revenue_by_category(t: Tables, by_year: bool) -> DataFrame:
-    per = (t["fact_sales"].groupBy("warehouse_id", "product_id", *_month("sale_date", by_year))
-           .agg(F.sum(_q() * _price()).alias("rev")))
+    per = reduced(t, "sales", *_month("sale_date", by_year))
     month_cols = ["sale_year", "sale_month"] if by_year else ["sale_month"]
     return (per.join(_products(t, "category"), "product_id")
             .join(warehouses(t, "warehouse_id"), "warehouse_id")
@@ -313,8 +289,7 @@ def _monthly_revenue_by_category(t: Tables, by_year: bool) -> DataFrame:
 
 
 def _monthly_expiry_by_category(t: Tables, by_year: bool) -> DataFrame:
-    e = (expiry_rows(t).groupBy("warehouse_id", "product_id", *_month("adjustment_date", by_year))
-         .agg(F.sum("quantity_adjusted").alias("units")))
+    e = reduced(t, "expiry", *_month("adjustment_date", by_year))
     month_cols = ["sale_year", "sale_month"] if by_year else ["sale_month"]
     return (e.join(_products(t, "category", "base_cost"), "product_id")
             .join(warehouses(t, "warehouse_id"), "warehouse_id")

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from shelflife.functions.dates import DEFAULT_AS_OF
 from shelflife.functions.money import MONEY, pct, ratio_half_up
 from shelflife.operators.analytics import receipts_reduced, batches_per_supplier
-from shelflife.operators.common import Tables, expiry_rows, union_all, warehouses
+from shelflife.operators.cells import cells, reduced
+from shelflife.operators.common import Tables, union_all, warehouses
 from shelflife.operators.staging import inventory_aging
 
 MONTHS = tuple(range(1, 13))
@@ -35,28 +36,18 @@ def _period(c: str, name: str, kind: str, by_year: bool) -> list[Column]:
 
 def _revenue(t: Tables, *period: Column) -> DataFrame:
     """Gross revenue per (warehouse, product, period...), only rows the enriched view keeps."""
-    per = (t["fact_sales"].groupBy("warehouse_id", "product_id", *period)
-           .agg(F.sum(F.col("quantity_sold") * F.col("selling_price_per_unit")).alias("rev")))
-    return (per.join(_products(t, "category"), "product_id")
+    return (reduced(t, "sales", *period).join(_products(t, "category"), "product_id")
             .join(warehouses(t, "warehouse_id", "warehouse_name"), "warehouse_id"))
 
 
 def _expiry(t: Tables, *period: Column) -> DataFrame:
-    per = (expiry_rows(t).groupBy("warehouse_id", "product_id", *period)
-           .agg(F.sum("quantity_adjusted").alias("units")))
-    return (per.join(_products(t, "category", "base_cost"), "product_id")
+    return (reduced(t, "expiry", *period).join(_products(t, "category", "base_cost"), "product_id")
             .join(warehouses(t, "warehouse_id", "warehouse_name"), "warehouse_id")
             .withColumn("loss", F.col("units") * F.col("base_cost")))
 
 
 def _allocated_margin(t: Tables, *period: Column) -> DataFrame:
-    s = t["fact_sales"].select("sale_id", "sale_date", "warehouse_id", "product_id",
-                               "selling_price_per_unit")
-    b = t["fact_sale_batch_map"].select("sale_id", "quantity_from_batch", "unit_cost_at_sale")
-    per = (s.join(b, "sale_id").groupBy("warehouse_id", "product_id", *period).agg(
-        F.sum(F.col("quantity_from_batch") * F.col("selling_price_per_unit")).alias("rev"),
-        F.sum(F.col("quantity_from_batch") * F.col("unit_cost_at_sale")).alias("cost")))
-    return (per.join(_products(t, "category"), "product_id")
+    return (reduced(t, "margin", *period).join(_products(t, "category"), "product_id")
             .join(warehouses(t, "warehouse_id"), "warehouse_id"))
 
 
@@ -84,9 +75,7 @@ def kpi_executive(t: Tables) -> DataFrame:
 
     j = union_all([
         part(_revenue(t), rev="rev"), part(_expiry(t), loss="loss"),
-        t["fact_stockout_events"].agg(none.alias("rev"), none.alias("loss"),
-                                      F.count(F.lit(1)).cast(wide).alias("events"),
-                                      none.alias("arev"), none.alias("acost")),
+        part(cells(t, "stockouts"), events="events"),
         part(_allocated_margin(t), arev="rev", acost="cost"),
     ]).agg(*[F.max(n).alias(n) for n in ("rev", "loss", "events", "arev", "acost")])
     rev, loss = F.col("rev").cast(MONEY), F.col("loss").cast(MONEY)
@@ -135,16 +124,16 @@ def expiry_loss_by_month(t: Tables, by_year: bool = False) -> DataFrame:
 
 def kpi_stockout(t: Tables) -> DataFrame:
     """One row: stock-out events and units short."""
-    return t["fact_stockout_events"].agg(
-        F.count(F.lit(1)).alias("total_stockout_events"),
+    return cells(t, "stockouts").agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("total_stockout_events"),
         F.sum("shortfall").alias("total_units_short"))
 
 
 def stockouts_by_month(t: Tables, by_year: bool = False) -> DataFrame:
     """Stock-out events and units short per month."""
     p = _period("stockout_date", "stockout_month", "month", by_year)
-    return t["fact_stockout_events"].groupBy(*p).agg(
-        F.count(F.lit(1)).alias("total_stockout_events"),
+    return cells(t, "stockouts").groupBy(*p).agg(
+        F.sum("events").alias("total_stockout_events"),
         F.sum("shortfall").alias("total_units_short"))
 
 
@@ -154,8 +143,7 @@ def stockout_heatmap(t: Tables, categories: tuple[str, ...]) -> DataFrame:
     The category columns are given, so the pivot needs no extra pass to discover
     them; ``other`` counts the events of all further categories and ``total`` all.
     """
-    per = (t["fact_stockout_events"].groupBy("warehouse_id", "product_id")
-           .agg(F.count(F.lit(1)).alias("n"))
+    per = (reduced(t, "stockouts").withColumnRenamed("events", "n")
            .join(_products(t, "category"), "product_id")
            .join(warehouses(t, "warehouse_id", "warehouse_name"), "warehouse_id"))
     column = F.when(F.col("category").isin(*categories), F.col("category")).otherwise("other")
@@ -168,13 +156,12 @@ def stockout_heatmap(t: Tables, categories: tuple[str, ...]) -> DataFrame:
 
 def stockout_rate_by_category(t: Tables) -> DataFrame:
     """Stock-out events per 100 sales, per category."""
-    def per_cat(df: DataFrame, name: str) -> DataFrame:
-        return (df.groupBy("warehouse_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-                .join(_products(t, "category"), "product_id")
+    def per_cat(cell: str, n: str, name: str) -> DataFrame:
+        return (reduced(t, cell).join(_products(t, "category"), "product_id")
                 .join(warehouses(t, "warehouse_id"), "warehouse_id")
-                .groupBy("category").agg(F.sum("n").alias(name)))
-    so = per_cat(t["fact_stockout_events"], "total_stockout_events")
-    sa = per_cat(t["fact_sales"], "total_sales_events")
+                .groupBy("category").agg(F.sum(n).alias(name)))
+    so = per_cat("stockouts", "events", "total_stockout_events")
+    sa = per_cat("sales", "sales", "total_sales_events")
     return so.join(sa, "category").select(
         "category", "total_stockout_events", "total_sales_events",
         pct(F.col("total_stockout_events"), F.col("total_sales_events"), num_scale=0, den_scale=0)

@@ -24,9 +24,10 @@ from shelflife.operators import quality as E
 from shelflife.operators import staging as J
 from shelflife.operators.common import union_all
 from shelflife.schemas import SCHEMAS, TABLE_NAMES
-from shelflife.sources import allocation_steps, balances
+from shelflife.sources import allocation_steps, balances, rollup
 from shelflife.sources import files as A
 from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, odd_tables, staged_tables
+from shelflife.sources.rollup import Rollup
 from shelflife.sources.store import Store
 
 # The fixture's product categories (columns of the heatmap) and
@@ -144,6 +145,26 @@ def inventory_aging_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.inventory_aging(store, FIXTURE_AS_OF, balances.positions(spark, root, FIXTURE_AS_OF, store.unit))
 
 
+_ROLLUPS: dict[tuple[str, str], Rollup] = {}
+
+
+def rolled_up(spark: SparkSession, sf_dir: str) -> Rollup:
+    """The rollup of the published version."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _ROLLUPS:
+        store, root = published(spark, sf_dir)[0], A.scratch_path(spark, "rollup")
+        rollup.refresh(store, root)
+        _ROLLUPS[key] = Rollup(store, root)
+    return _ROLLUPS[key]
+
+
+def _over_rollup(fn, **params) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(rolled_up(spark, sf_dir), **params)
+    run.__name__, run.__doc__ = fn.__name__ + "_rollup", fn.__doc__
+    return run
+
+
 # Ends of the steps that the fixture's days are allocated in.
 ALLOCATION_STEPS = (dt.date(1994, 7, 1), dt.date(1996, 7, 1), dt.date(2100, 1, 1))
 
@@ -256,6 +277,15 @@ def _queries() -> dict[str, Query]:
         "expiry_writeoffs_snapshot": expiry_writeoffs_snapshot,
         "inventory_aging_snapshot": inventory_aging_snapshot,
         "batch_allocation_stepwise": batch_allocation_stepwise,
+        # reports over the rollup
+        "kpi_executive_rollup": _over_rollup(L.kpi_executive),
+        "revenue_by_month_rollup": _over_rollup(L.revenue_by_month),
+        "expiry_loss_by_month_rollup": _over_rollup(L.expiry_loss_by_month),
+        "stockouts_by_month_rollup": _over_rollup(L.stockouts_by_month),
+        "purchase_price_by_month_rollup": _over_rollup(L.purchase_price_by_month),
+        "margin_by_month_rollup": _over_rollup(L.margin_by_month),
+        "gross_margin_by_category_month_rollup": _over_rollup(K.gross_margin_by_category_month),
+        "cumulative_revenue_and_expiry_rollup": _over_rollup(K.cumulative_revenue_and_expiry),
         # L: dashboard marts
         "kpi_executive": _q(L.kpi_executive),
         "revenue_by_month": _q(L.revenue_by_month),

@@ -170,6 +170,10 @@ def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_ro
 
 def _remove(spark: SparkSession, path: str) -> None:
     forget_store(spark, path)
+    _remove_path(spark, path)
+
+
+def _remove_path(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
