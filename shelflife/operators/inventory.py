@@ -239,6 +239,19 @@ def inventory_ledger(t: Tables) -> DataFrame:
     return daily.select(*k, "ledger_date", "net_change", F.sum("net_change").over(w).alias("balance"))
 
 
+def balance_at_period_ends(t: Tables, unit: str = "month") -> DataFrame:
+    """M8 at the last day of every period, from a pair's first movement to its last: the
+    balance after the last movement on or before that day (an as-of join)."""
+    from shelflife.operators.running import as_of
+    k, months = ["warehouse_id", "product_id"], {"month": 1, "quarter": 3, "year": 12}[unit]
+    ledger = inventory_ledger(t)
+    span = ledger.groupBy(*k).agg(F.min("ledger_date").alias("a"), F.max("ledger_date").alias("b"))
+    firsts = F.sequence(F.trunc("a", unit), F.trunc("b", unit), F.expr(f"interval {months} months"))
+    asks = span.select(*k, F.explode(firsts).alias("first")).select(
+        *k, F.date_sub(F.add_months("first", months), 1).alias("ledger_date"))
+    return as_of(asks, ledger, k, "ledger_date", ["balance"]).withColumnRenamed("ledger_date", "period_end")
+
+
 # ---- M11 --------------------------------------------------------------------------
 
 def stockout_detection(demand: DataFrame) -> DataFrame:

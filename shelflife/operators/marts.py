@@ -17,6 +17,7 @@ from shelflife.functions.money import MONEY, pct, ratio_half_up
 from shelflife.operators.analytics import receipts_reduced, batches_per_supplier
 from shelflife.operators.cells import cells, reduced
 from shelflife.operators.common import Tables, union_all, warehouses
+from shelflife.operators.distinct import bitmaps, distinct_counts
 from shelflife.operators.staging import inventory_aging
 
 MONTHS = tuple(range(1, 13))
@@ -200,6 +201,21 @@ def batch_volume_by_supplier(t: Tables) -> DataFrame:
         "supplier_id", "supplier_name", "total_batches_received", "total_units_received")
 
 
+def supplier_batch_bitmaps(t: Tables, numbers: DataFrame) -> DataFrame:
+    """(supplier_id, receipt_month, bucket, bitmap): the batches of L12 by month, to be kept."""
+    r = (t["fact_goods_receipts"].join(_products(t), "product_id", "left_semi")
+         .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi"))
+    return bitmaps(r, "batch_id", ["supplier_id", F.trunc("receipt_date", "month").alias("receipt_month")], numbers)
+
+
+def batch_volume_from_months(t: Tables, maps: DataFrame) -> DataFrame:
+    """L12 with its distinct batches merged from monthly bitmaps, units from the cells."""
+    s = t["dim_suppliers"].select("supplier_id", "supplier_name")
+    units = receipts_reduced(t).groupBy("supplier_id").agg(F.sum("units").alias("total_units_received"))
+    return units.join(distinct_counts(maps, ["supplier_id"], "total_batches_received"), "supplier_id").join(
+        s, "supplier_id").select("supplier_id", "supplier_name", "total_batches_received", "total_units_received")
+
+
 # ---- page 5: margin ----------------------------------------------------------------
 
 def margin_by_month(t: Tables, by_year: bool = False) -> DataFrame:

@@ -94,7 +94,7 @@ LEFT JOIN base USING (warehouse_id, product_id)
 JOIN prim USING (product_id)
 JOIN (SELECT supplier_id, average_lead_time_days FROM dim_suppliers) USING (supplier_id)""",
                                    _stock_on_hand(AS_OF), _base_demand(AS_OF), PRIMARY)
-    q["inventory_ledger"] = sql("""
+    ledger = """
 SELECT warehouse_id, product_id, ledger_date, net_change,
        CAST(SUM(net_change) OVER (PARTITION BY warehouse_id, product_id ORDER BY ledger_date
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS balance
@@ -104,7 +104,28 @@ FROM (SELECT warehouse_id, product_id, ledger_date, CAST(SUM(q) AS BIGINT) AS ne
         UNION ALL SELECT warehouse_id, product_id, sale_date, -CAST(quantity_sold AS BIGINT) FROM fact_sales
         UNION ALL SELECT warehouse_id, product_id, adjustment_date, -CAST(quantity_adjusted AS BIGINT)
         FROM fact_inventory_adjustments) m
-      GROUP BY warehouse_id, product_id, ledger_date) d""")
+      GROUP BY warehouse_id, product_id, ledger_date) d"""
+    q["inventory_ledger"] = sql(ledger)
+    q["balance_at_quarter_ends"] = sql("""
+SELECT warehouse_id, product_id, period_end, balance
+FROM ask ASOF LEFT JOIN led USING (warehouse_id, product_id, period_end)""", f"""led0 AS MATERIALIZED ({ledger})""",
+        """led AS (SELECT * RENAME (ledger_date AS period_end) FROM led0)""",
+        """ask AS (
+  SELECT warehouse_id, product_id, (unnest(generate_series(a, b, INTERVAL 3 MONTH)) + INTERVAL 3 MONTH - INTERVAL 1 DAY)::DATE AS period_end
+  FROM (SELECT warehouse_id, product_id, date_trunc('quarter', min(ledger_date))::TIMESTAMP AS a,
+               date_trunc('quarter', max(ledger_date))::TIMESTAMP AS b
+        FROM led0 GROUP BY ALL))""")
+    q["csv_rejects"] = sql("""
+SELECT CASE ok WHEN 1 THEN 'sale_date is not date' WHEN 2 THEN 'quantity_sold is not int'
+               WHEN 3 THEN '9 fields of 8' ELSE '7 fields of 8' END AS reason,
+       concat_ws(',', sale_id, CASE WHEN ok = 1 THEN strftime(sale_date, '%Y') || '-13-01' ELSE sale_date::VARCHAR END,
+                 warehouse_id, product_id, CASE WHEN ok = 2 THEN 'x' ELSE '' END || quantity_sold, selling_price_per_unit,
+                 discount_percent, CASE WHEN ok <> 4 THEN promotion_flag END, CASE WHEN ok = 3 THEN 9 END) AS row_text,
+       1::BIGINT AS row_count, NULL::BIGINT AS units
+FROM text_line WHERE ok BETWEEN 1 AND 4
+UNION ALL
+SELECT NULL, NULL, count(*), sum(quantity_sold)::BIGINT FROM text_line WHERE ok NOT BETWEEN 1 AND 4""",
+        """text_line AS (SELECT *, split_part(substr(sale_id, 2), '-', 1)::BIGINT % 499 AS ok FROM fact_sales)""")
     q["expiry_writeoffs"] = sql(f"""
 SELECT r.batch_id, r.warehouse_id, r.product_id, r.expiry_date AS adjustment_date,
        'Expiry' AS adjustment_type, CAST({_left('so', 'ad')} AS BIGINT) AS quantity_adjusted

@@ -23,6 +23,7 @@ from shelflife.operators import marts as L
 from shelflife.operators import quality as E
 from shelflife.operators import staging as J
 from shelflife.operators.common import union_all
+from shelflife.operators.distinct import dictionary
 from shelflife.schemas import SCHEMAS, TABLE_NAMES
 from shelflife.sources import allocation_steps, balances, rollup
 from shelflife.sources import files as A
@@ -165,6 +166,33 @@ def _over_rollup(fn, **params) -> Query:
     return run
 
 
+def batch_volume_by_supplier_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L12 over the rollup, its distinct batches merged from stored monthly bitmaps."""
+    t, path = rolled_up(spark, sf_dir), A.scratch_path(spark, "bitmaps")
+    numbers = dictionary(t["fact_goods_receipts"], "batch_id", ["supplier_id"])
+    L.supplier_batch_bitmaps(t, numbers).write.parquet(path)
+    return L.batch_volume_from_months(t, spark.read.parquet(path))
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tolerant load of the sales extract with planted malformed rows: every reject with
+    its reason, and what was loaded (rows and units)."""
+    ok = F.substring_index(F.expr("substring(sale_id, 2)"), "-", 1).cast("bigint") % 499
+    text = {c: F.col(c).cast("string") for c in SCHEMAS["fact_sales"].names}
+    text["sale_date"] = F.when(ok == 1, F.concat(F.substring("sale_date", 1, 5), F.lit("13-01"))).otherwise(text["sale_date"])
+    text["quantity_sold"] = F.when(ok == 2, F.concat(F.lit("x"), text["quantity_sold"])).otherwise(text["quantity_sold"])
+    line = F.concat_ws(",", *text.values())
+    line = F.when(ok == 3, F.concat(line, F.lit(",9"))).when(ok == 4, F.substring_index(line, ",", 7)).otherwise(line)
+    folder = A.scratch_path(spark, "csv-rejects")
+    staged_tables(spark, sf_dir)["fact_sales"].select(line.alias("line")).write.text(f"{folder}/extract")
+    good, rejects = A.load_tolerant(spark, f"{folder}/extract", "fact_sales", f"{folder}/staged", header=False)
+    none = F.lit(None).cast("string")
+    return rejects.select("reason", "row_text", F.lit(1).cast("bigint").alias("row_count"),
+                          F.lit(None).cast("bigint").alias("units")).unionByName(
+        good.agg(F.count(F.lit(1)).alias("row_count"), F.sum("quantity_sold").alias("units")).select(
+            none.alias("reason"), none.alias("row_text"), "row_count", "units"))
+
+
 # Ends of the steps that the fixture's days are allocated in.
 ALLOCATION_STEPS = (dt.date(1994, 7, 1), dt.date(1996, 7, 1), dt.date(2100, 1, 1))
 
@@ -277,6 +305,9 @@ def _queries() -> dict[str, Query]:
         "expiry_writeoffs_snapshot": expiry_writeoffs_snapshot,
         "inventory_aging_snapshot": inventory_aging_snapshot,
         "batch_allocation_stepwise": batch_allocation_stepwise,
+        "batch_volume_by_supplier_rollup": batch_volume_by_supplier_rollup,
+        "csv_rejects": csv_rejects,
+        "balance_at_quarter_ends": _q(M.balance_at_period_ends, unit="quarter"),
         # reports over the rollup
         "kpi_executive_rollup": _over_rollup(L.kpi_executive),
         "revenue_by_month_rollup": _over_rollup(L.revenue_by_month),

@@ -38,6 +38,37 @@ def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
             .csv(path))
 
 
+def load_tolerant(spark: SparkSession, path: str, name: str, staging: str, header: bool = True,
+                  max_rejects: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """One table from CSV, malformed rows set apart: (good rows, rejects).
+
+    Rejects: ``table_name, file, row_text, reason``; the reason names the number of fields
+    where it is wrong, else the first column whose text does not fit its type.  The files
+    are parsed once, into ``staging``; both results read that.  (Parsed for some columns
+    only, a row is not found to be malformed in others.)  More than ``max_rejects`` rejected
+    rows are an error.
+    """
+    schema = SCHEMAS[name]
+    parsed = (spark.read.schema(T.StructType([*schema.fields, T.StructField("_row", T.StringType())]))
+              .option("header", header).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+              .option("columnNameOfCorruptRecord", "_row").csv(path))
+    parsed.select("*", F.col("_metadata.file_path").alias("_file")).write.mode("overwrite").parquet(staging)
+    staged = spark.read.parquet(staging)
+    good = staged.where("_row is null").select(*schema.names)
+    names = [f"c{i}" for i in range(len(schema.names))]
+    text = F.from_csv("_row", ", ".join(f"{c} string" for c in names), {"mode": "PERMISSIVE"})
+    fields = F.size(F.split("_row", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'))    # commas outside of quotes
+    wrong = [F.when(F.col(f"t.{c}").isNotNull() & F.col(f"t.{c}").try_cast(f.dataType).isNull(),
+                    F.lit(f"{f.name} is not {f.dataType.simpleString()}")) for c, f in zip(names, schema.fields)]
+    reason = F.when(fields != len(names), F.concat_ws(" ", fields.cast("string"), F.lit(f"fields of {len(names)}")))
+    rejects = staged.where("_row is not null").withColumn("t", text).select(
+        F.lit(name).alias("table_name"), F.col("_file").alias("file"), F.col("_row").alias("row_text"),
+        F.coalesce(reason, *wrong, F.lit("unreadable")).alias("reason"))
+    if max_rejects is not None and (n := rejects.count()) > max_rejects:
+        raise RefreshFailed([f"{n} rows of {name} are malformed, {max_rejects} allowed"])
+    return good, rejects
+
+
 def load_csv(spark: SparkSession, folder: str, names: Iterable[str] = TABLE_NAMES) -> Tables:
     """A1: ``{name: DataFrame}`` over ``folder/<name>`` CSV extracts (lazy)."""
     folder = folder.rstrip("/")

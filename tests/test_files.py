@@ -103,3 +103,39 @@ def test_table_preview_order(small):
 def test_schema_columns(spark, small):
     got = dict(rows(A.schema_columns(small, spark)))
     assert got["fact_goods_receipts"] == 11 and got["dim_supplier_products"] == 3
+
+
+def _sales_lines():
+    return [",".join(x) for x in [
+        ("S1", "2024-01-01", "W1", "P1", "3", "1.50", "0.00", "0"),
+        ("S2", "2024-13-01", "W1", "P1", "3", "1.50", "0.00", "0"),
+        ("S3", "2024-01-02", "W1", "P1", "x", "1.50", "0.00", "0"),
+        ("S4", "2024-01-02", "W1", "P1", "3"),
+        ("S5", "2024-01-02", '"W,1"', "P1", "3", "1.50", "0.00", "1"),
+        ("S6", "2024-01-02", '"W,1"', "P1", "3", "1.50", "0.00", "1", "more"),
+        ("S7", "", "W1", "P1", "", "1.50", "0.00", "0")]]
+
+
+def test_tolerant_load_sets_malformed_rows_apart(spark):
+    folder = A.scratch_path(spark, "test-rejects")
+    head = ",".join(A.SCHEMAS["fact_sales"].names)
+    spark.createDataFrame([("\n".join([head, *_sales_lines()]),)], "line string").coalesce(1).write.text(f"{folder}/in")
+    good, bad = A.load_tolerant(spark, f"{folder}/in", "fact_sales", f"{folder}/staged")
+    assert good.schema == A.SCHEMAS["fact_sales"]
+    assert {r.sale_id: (r.warehouse_id, r.quantity_sold) for r in good.collect()} == {
+        "S1": ("W1", 3), "S5": ("W,1", 3), "S7": ("W1", None)}
+    got = {r.row_text.split(",")[0]: r.reason for r in bad.collect()}
+    assert got == {"S2": "sale_date is not date", "S3": "quantity_sold is not int", "S4": "5 fields of 8",
+                   "S6": "9 fields of 8"}
+    assert {r.row_text for r in bad.collect()} <= set(_sales_lines())
+    assert all("/in/" in r.file and r.table_name == "fact_sales" for r in bad.collect())
+    # counts add up whatever columns are asked for
+    assert good.select("sale_id").count() + bad.count() == good.select("quantity_sold").count() + 4 == 7
+
+
+def test_too_many_rejects_are_an_error(spark):
+    folder = A.scratch_path(spark, "test-many")
+    spark.createDataFrame([(x,) for x in _sales_lines()], "line string").write.text(f"{folder}/in")
+    A.load_tolerant(spark, f"{folder}/in", "fact_sales", f"{folder}/staged", header=False, max_rejects=4)
+    with pytest.raises(A.RefreshFailed, match="4 rows of fact_sales"):
+        A.load_tolerant(spark, f"{folder}/in", "fact_sales", f"{folder}/staged", header=False, max_rejects=3)
