@@ -35,7 +35,7 @@ def not_null_violations(t: Tables) -> DataFrame:
     One scan per table: all null counts are one aggregate, then unpivoted.
     """
     frames = []
-    for n in TABLE_NAMES:
+    for n in (n for n in TABLE_NAMES if n in t):
         cols = [f.name for f in SCHEMAS[n].fields]
         wide = t[n].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
         frames.append(
@@ -44,20 +44,23 @@ def not_null_violations(t: Tables) -> DataFrame:
     return union_all(frames)
 
 
-def fk_violations(t: Tables) -> DataFrame:
+def fk_violations(t: Tables, parents=None) -> DataFrame:
     """Per foreign key, the child rows whose parent key does not exist (NULL keys excluded).
 
     Each child is read once: its rows are counted per tuple of its foreign keys (map-side
     combined, so a hot key costs one row), the tuples are joined to the keys of each
-    parent, and the orphans of all its keys come out of one aggregate.
+    parent, and the orphans of all its keys come out of one aggregate.  ``parents`` gives
+    the parent's keys for (child, column, parent, parent column) where they do not come
+    from ``t``.
     """
     frames = []
-    for child in dict.fromkeys(c for c, *_ in FOREIGN_KEYS):
+    for child in dict.fromkeys(c for c, *_ in FOREIGN_KEYS if c in t):
         own = [(col, parent, pcol) for c, col, parent, pcol in FOREIGN_KEYS if c == child]
         rows = t[child].groupBy(*dict.fromkeys(col for col, *_ in own)).agg(F.count(F.lit(1)).alias("n"))
         sums, names = [], []
         for i, (col, parent, pcol) in enumerate(own):
-            keys = t[parent].select(F.col(pcol).alias(f"_k{i}")).distinct()
+            keys = parents(child, col, parent, pcol) if parents else t[parent]
+            keys = keys.select(F.col(pcol).alias(f"_k{i}")).distinct()
             rows = rows.join(keys, F.col(col) == F.col(f"_k{i}"), "left")
             lost = F.col(col).isNotNull() & F.col(f"_k{i}").isNull()
             sums.append(F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).cast("bigint").alias(f"o{i}"))
@@ -84,7 +87,7 @@ def domain_violations(t: Tables, widths: dict | None = None) -> DataFrame:
     """
     widths = dict(VARCHAR_WIDTHS if widths is None else widths)
     frames = []
-    for n in TABLE_NAMES:
+    for n in (n for n in TABLE_NAMES if n in t):
         checks = []
         for (tn, c), w in widths.items():
             if tn == n:

@@ -27,6 +27,7 @@ from shelflife.operators.distinct import dictionary
 from shelflife.schemas import SCHEMAS, TABLE_NAMES
 from shelflife.sources import allocation_steps, balances, rollup
 from shelflife.sources import files as A
+from shelflife.sources.catalog import create_tables
 from shelflife.sources.fixture import FIXTURE_AS_OF, dirty_tables, odd_tables, staged_tables
 from shelflife.sources.rollup import Rollup
 from shelflife.sources.store import Store
@@ -193,6 +194,21 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             none.alias("reason"), none.alias("row_text"), "row_count", "units"))
 
 
+def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 as SQL over catalog tables that are created over the published store."""
+    store = published(spark, sf_dir)[0]
+    database = "shelflife_" + store.folder.rsplit("-", 1)[-1]
+    create_tables(spark, database, store)
+    return spark.sql(f"""
+SELECT p.category, count(*) AS total_expiry_events, sum(a.quantity_adjusted) AS total_unit_lost_to_expiry,
+       CAST(sum(a.quantity_adjusted * p.base_cost) AS decimal(38,2)) AS total_cost_lost_to_expiry
+FROM {database}.fact_inventory_adjustments a
+JOIN {database}.dim_products p ON p.product_id = a.product_id
+JOIN {database}.dim_warehouses w ON w.warehouse_id = a.warehouse_id
+WHERE a.adjustment_type = 'Expiry'
+GROUP BY p.category""")
+
+
 # Ends of the steps that the fixture's days are allocated in.
 ALLOCATION_STEPS = (dt.date(1994, 7, 1), dt.date(1996, 7, 1), dt.date(2100, 1, 1))
 
@@ -307,6 +323,7 @@ def _queries() -> dict[str, Query]:
         "batch_allocation_stepwise": batch_allocation_stepwise,
         "batch_volume_by_supplier_rollup": batch_volume_by_supplier_rollup,
         "csv_rejects": csv_rejects,
+        "catalog_sql": catalog_sql,
         "balance_at_quarter_ends": _q(M.balance_at_period_ends, unit="quarter"),
         # reports over the rollup
         "kpi_executive_rollup": _over_rollup(L.kpi_executive),

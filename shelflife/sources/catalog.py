@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelflife.functions.dates import DEFAULT_AS_OF
 from shelflife.operators import staging as J
-from shelflife.schemas import TABLE_NAMES
+from shelflife.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLE_NAMES
+from shelflife.sources.store import Store
 
 VIEW_NAMES = ("vw_sales_enriched", "vw_goods_receipts_enriched", "vw_inventory_adjustments_enriched",
               "vw_expiry_rate_by_category", "vw_inventory_aging")
@@ -26,6 +27,39 @@ def ensure_database(spark: SparkSession, name: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+# What each table holds, as its comment in the catalog.
+COMMENTS = {
+    "dim_products": "products: category, cost, price, shelf life", "dim_warehouses": "warehouses and their storage",
+    "dim_suppliers": "suppliers: lead time, reliability", "dim_supplier_products": "which supplier delivers which product",
+    "fact_sales": "one row a sale of a product in a warehouse", "fact_goods_receipts": "one row a batch received",
+    "fact_sale_batch_map": "which batches a sale was taken from, and their cost",
+    "fact_inventory_adjustments": "write-offs and other corrections of a batch",
+    "fact_stockout_events": "demand that could not be served",
+}
+
+
+def table_exists(spark: SparkSession, database: str, name: str) -> bool:
+    return spark.catalog.tableExists(f"`{database}`.`{name}`")
+
+
+def create_tables(spark: SparkSession, database: str, store: Store) -> list[str]:
+    """Create the database and its nine tables over a published store, each only
+    if it does not exist; returns the names created.
+
+    Catalog tables with declared columns, keys and meaning as comments; they read the
+    store's files in their layout (partitions, buckets) and outlive the session wherever
+    the session's catalog does.
+    """
+    ensure_database(spark, database)
+    created = []
+    for name in (n for n in TABLE_NAMES if not table_exists(spark, database, n)):
+        notes = {c: "primary key" for c in PRIMARY_KEYS[name]}
+        notes |= {c: f"references {parent}.{pcol}" for child, c, parent, pcol in FOREIGN_KEYS if child == name}
+        store.create(name, f"`{database}`.`{name}`", COMMENTS[name], notes)
+        created.append(name)
+    return created
+
+
 def register_tables(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
     """Temporary views named after the nine tables."""
     for n in TABLE_NAMES:

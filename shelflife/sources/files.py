@@ -151,20 +151,24 @@ class RefreshFailed(RuntimeError):
         self.problems = problems
 
 
-def violations(t: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per broken constraint (B1, B2, B3, B5): ``problem, rows``."""
-    from shelflife.operators.integrity import (domain_violations, fk_violations,
-                                               not_null_violations, pk_violations)
-
+def problems(duplicates: DataFrame, nulls: DataFrame, orphans: DataFrame, domains: DataFrame) -> DataFrame:
+    """One row per broken constraint: ``problem, rows``."""
     def named(df: DataFrame, kind: str, n: str, *names: str) -> DataFrame:
         return df.where(F.col(n) > 0).select(
             F.concat_ws(" ", F.lit(kind), *names).alias("problem"), F.col(n).alias("rows"))
 
     return union_all([
-        named(pk_violations(t), "duplicate key", "duplicate_keys", "table_name", "key_columns"),
-        named(not_null_violations(t), "null", "violations", "table_name", "column_name"),
-        named(fk_violations(t), "orphan", "orphans", "child", "fk_column"),
-        named(domain_violations(t), "domain", "violations", "table_name", "column_name")])
+        named(duplicates, "duplicate key", "duplicate_keys", "table_name", "key_columns"),
+        named(nulls, "null", "violations", "table_name", "column_name"),
+        named(orphans, "orphan", "orphans", "child", "fk_column"),
+        named(domains, "domain", "violations", "table_name", "column_name")])
+
+
+def violations(t: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per broken constraint (B1, B2, B3, B5): ``problem, rows``."""
+    from shelflife.operators.integrity import (domain_violations, fk_violations,
+                                               not_null_violations, pk_violations)
+    return problems(pk_violations(t), not_null_violations(t), fk_violations(t), domain_violations(t))
 
 
 def full_refresh(spark: SparkSession, source: Mapping[str, DataFrame], target_root: str,

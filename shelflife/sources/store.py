@@ -72,6 +72,16 @@ class Store(Tables):
         super().__init__({n: (lambda n=n: build(n)) for n in TABLE_NAMES})
         self.folder, self.unit, self._spark, self._names = folder, unit, spark, names
 
+    def create(self, name: str, table: str, comment: str, notes: Mapping[str, str]) -> None:
+        """A catalog table over the files of ``name``, with comments on it and its columns."""
+        buckets = self._spark.catalog.listColumns(self._names[name]) if name in self._names else []
+        buckets = [c.name for c in buckets if c.isBucket]
+        n = None
+        if buckets:
+            rows = self._spark.sql(f"DESCRIBE EXTENDED {self._names[name]}").where("col_name = 'Num Buckets'").collect()
+            n = int(rows[0]["data_type"])
+        _create(self._spark, self.folder, name, table, LAYOUT[name].bucket if n else None, n, comment, notes)
+
     def between(self, name: str, start: dt.date | None, end: dt.date | None) -> DataFrame:
         """Rows of a fact dated in [start, end), read from those periods alone.
 
@@ -132,6 +142,22 @@ def save_store(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str
         .write.mode("overwrite").json(f"{folder}/_layout")
 
 
+def _create(spark: SparkSession, folder: str, name: str, table: str, bucket: str | None, buckets: int | None,
+            comment: str, notes: Mapping[str, str]) -> None:
+    """CREATE TABLE over the files of a version, in the layout that they have."""
+    columns = [f"`{f.name}` {f.dataType.simpleString()} COMMENT '{notes.get(f.name, '')}'" for f in SCHEMAS[name].fields]
+    layout = ""
+    if name in LAYOUT:
+        columns.append(f"{PERIOD} date COMMENT 'first day of the period of {LAYOUT[name].date}'")
+        layout = f"PARTITIONED BY ({PERIOD})"
+        if bucket:
+            layout += f" CLUSTERED BY ({bucket}) SORTED BY ({bucket}) INTO {buckets} BUCKETS"
+    spark.sql(f"CREATE TABLE {table} ({', '.join(columns)}) USING parquet {layout} "
+              f"COMMENT '{comment}' LOCATION '{folder}/{name}'")
+    if name in LAYOUT:
+        spark.catalog.recoverPartitions(table)
+
+
 def load_store(spark: SparkSession, folder: str) -> Store:
     """The tables of a folder; registers them in this session's catalog if it has not."""
     folder = folder.rstrip("/")
@@ -142,12 +168,7 @@ def load_store(spark: SparkSession, folder: str) -> Store:
         names[name] = _registered(folder, name)
         if spark.catalog.tableExists(names[name]):
             continue
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SCHEMAS[name].fields)
-        cluster = (f"CLUSTERED BY ({r['bucket']}) SORTED BY ({r['bucket']}) INTO {r['buckets']} BUCKETS"
-                   if r["bucket"] else "")
-        spark.sql(f"CREATE TABLE {names[name]} ({columns}, {PERIOD} date) USING parquet "
-                  f"PARTITIONED BY ({PERIOD}) {cluster} LOCATION '{folder}/{name}'")
-        spark.catalog.recoverPartitions(names[name])
+        _create(spark, folder, name, names[name], r["bucket"], r["buckets"], "", {})
     return Store(spark, folder, names, unit)
 
 
