@@ -38,15 +38,16 @@ ROWS_AT_ONCE, QUERIES_AT_ONCE = 2048, 256   # sides of the block of scores that
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
-def quantised(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """(id, v, top): floor(scale * component) as whole doubles, and their largest size.
+def quantised(df: DataFrame, scale: float) -> DataFrame:
+    """(id, v, asked) to (id, v, top, asked): floor(scale * component) as whole doubles, and
+    their largest size.
 
     Null vectors and those with a null, NaN or infinite component (also after scaling)
     are left out.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, vecs = batch.column(0), batch.column(1)
+            ids, vecs, asked = batch.columns
             offsets = np.asarray(vecs.offsets) - vecs.offsets[0].as_py() if len(vecs) else np.zeros(1, int)
             flat = vecs.flatten()
             with np.errstate(all="ignore"):
@@ -57,12 +58,12 @@ def quantised(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFra
             rows = [v[a:b] for a, b, good in zip(offsets[:-1], offsets[1:], ok) if good]
             yield pa.RecordBatch.from_arrays(
                 [ids.filter(pa.array(ok)), pa.array(rows, pa.list_(pa.float64())),
-                 pa.array([float(np.abs(r).max()) if len(r) else 0.0 for r in rows], pa.float64())],
-                names=["id", "v", "top"])
+                 pa.array([float(np.abs(r).max()) if len(r) else 0.0 for r in rows], pa.float64()),
+                 asked.filter(pa.array(ok))], names=["id", "v", "top", "asked"])
 
     # a null array would have no room in the flat values: it is left out before
-    return (df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-            .where(F.col("v").isNotNull()).mapInArrow(run, "id long, v array<double>, top double"))
+    return (df.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"), "asked")
+            .where(F.col("v").isNotNull()).mapInArrow(run, "id long, v array<double>, top double, asked boolean"))
 
 
 def matrix(vecs: list[np.ndarray], width: int) -> np.ndarray:
@@ -214,10 +215,7 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     spark = df.sparkSession
     asked = F.coalesce(F.expr(is_query) if isinstance(is_query, str) else is_query, F.lit(False))
     named = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"), asked.alias("asked"))
-    # the mark travels in the id column's place of a struct-free table: queries and others apart
-    both = quantised(named.where("asked"), "id", "v", scale).withColumn("asked", F.lit(True)).unionByName(
-        quantised(named.where("not asked"), "id", "v", scale).withColumn("asked", F.lit(False)))
-    cands = stored(both.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    cands = stored(quantised(named, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = stored(_grouped(cands.where("asked")), "queries")
     groups, top = queries.agg(F.max("grp")).first()[0], cands.agg(F.max("top")).first()[0]
     schema = "query_id long, rank int, vec_id long, score long"
