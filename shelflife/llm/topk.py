@@ -216,7 +216,7 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     asked = F.coalesce(F.expr(is_query) if isinstance(is_query, str) else is_query, F.lit(False))
     named = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"), asked.alias("asked"))
     cands = stored(quantised(named, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
-    queries = stored(_grouped(cands.where("asked")), "queries")
+    queries = stored(_grouped(stored(cands.where("asked"), "asked")), "queries")
     groups, top = queries.agg(F.max("grp")).first()[0], cands.agg(F.max("top")).first()[0]
     schema = "query_id long, rank int, vec_id long, score long"
     if groups is None:
