@@ -3,31 +3,39 @@
 Writing: documents are ordered by ``doc_id`` over range shards, encoded to ids,
 and kept as an intermediate table; the ids are counted over all documents; the
 code lengths (package merge, no code longer than the decoding table) define the
-canonical code alone, so the header of a file is one length per id.  A block
+canonical code alone, so a header holds one length per id.  A block
 holds consecutive ids of a shard: a bit stream and, for every ``step`` ids, the
 bit offset at which they start.  Reading decodes any block alone: all check
 points of a block advance together, one table look-up per id.
 
-Files are Parquet tables in the shared folder whose rows are the blocks, so Spark
-writes, commits and reads them on any store.
+Files are a folder of two Parquet tables, so Spark writes, commits and reads them on
+any store: ``blocks``, whose rows are the blocks, and ``header``, one row with all
+that a reader needs.  The header is written last; a folder without it is unfinished.
+Nothing but the path is needed to read the ids, in any session.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflife.llm.common import partitions, slices, stored, text_bytes
 from shelflife.llm.tokens import encoder
+from shelflife.session import scratch_path
 
 STEP = 512          # ids between two check points
 BLOCK = 1 << 19     # ids of a block, about
+VERSION = 1         # of the file format
+HEADER = "version int, step int, end_id long, id_type string, lengths binary, crc long"
+BLOCKS = ("shard int, seq long, part int, n_ids long, docs array<long>, sizes array<long>, "
+          "points binary, stream binary")
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -106,20 +114,20 @@ def encode_bits(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray
 
 
 def decode_bits(stream: bytes, points: np.ndarray, n_ids: int,
-                table: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+                table: tuple[np.ndarray, np.ndarray, int], step: int = STEP) -> np.ndarray:
     """All ids of a block; every check point is a lane of the same table walk."""
     symbols, sizes, width = table
     words = np.frombuffer(stream + b"\0" * 8, ">u4").astype(np.uint64)
     pairs = (words[:-1] << np.uint64(32)) | words[1:]
     at = points.astype(np.int64)
-    out = np.zeros((STEP, len(at)), np.uint32)
+    out = np.zeros((step, len(at)), np.uint32)
     shift, mask = 64 - width, (1 << width) - 1
     last = len(pairs) * 32 - 32
-    for k in range(min(STEP, n_ids)):
+    for k in range(min(step, n_ids)):
         bits = (pairs[at >> 5] >> (shift - (at & 31)).astype(np.uint64)).astype(np.int64) & mask
         out[k] = symbols[bits]
         at += sizes[bits]
-        if k + 1 >= n_ids - (len(points) - 1) * STEP:  # the last lane may have ended
+        if k + 1 >= n_ids - (len(points) - 1) * step:  # the last lane may have ended
             np.minimum(at, last, out=at)
     return out.T.reshape(-1)[:n_ids]
 
@@ -167,8 +175,44 @@ def id_counts(tokens: DataFrame, dtype: str) -> DataFrame:
     return part.groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write_blocks(tokens: DataFrame, lengths: np.ndarray, dtype: str, block: int = BLOCK) -> DataFrame:
-    """Encode the stored ids; one row per block, written to the shared folder.
+class Header(NamedTuple):
+    """What a reader must know: code lengths by id, ids a check point, the id that ends a
+    document, and the numpy type of an id as it was encoded."""
+
+    lengths: np.ndarray
+    step: int
+    end_id: int
+    id_type: str
+
+    def crc(self) -> int:
+        """Guards all fields: a header that was cut or changed is not decoded with."""
+        fields = f"{VERSION},{self.step},{self.end_id},{self.id_type},"
+        return zlib.crc32(fields.encode() + self.lengths.tobytes())
+
+
+def write_header(spark: SparkSession, path: str, header: Header) -> None:
+    """One row, as large as the vocabulary."""
+    row = (VERSION, header.step, header.end_id, header.id_type,
+           bytearray(header.lengths.tobytes()), header.crc())
+    spark.createDataFrame([row], HEADER).coalesce(1).write.parquet(f"{path}/header")
+
+
+def read_header(spark: SparkSession, path: str) -> Header:
+    """The header of the files under ``path``; another version, a missing row or a wrong
+    check sum is an error."""
+    rows = spark.read.schema(HEADER).parquet(f"{path}/header").collect()
+    if len(rows) != 1 or rows[0].version != VERSION:
+        raise ValueError(f"{path}: no header of format version {VERSION}")
+    row = rows[0]
+    header = Header(np.frombuffer(bytes(row.lengths), np.uint8), row.step, row.end_id, row.id_type)
+    if header.crc() != row.crc:
+        raise ValueError(f"{path}: the header's check sum is wrong")
+    return header
+
+
+def write_blocks(tokens: DataFrame, path: str, lengths: np.ndarray, dtype: str,
+                 block: int = BLOCK) -> None:
+    """Encode the stored ids; one row per block, written under ``path``.
 
     A block belongs to one shard and names the documents it holds: ``docs`` with the
     ids of each in this block (a document longer than a block goes on in the next).
@@ -223,28 +267,27 @@ def write_blocks(tokens: DataFrame, lengths: np.ndarray, dtype: str, block: int
         if rows:
             yield flush()
 
-    blocks = tokens.select("shard", "seq", "doc_id", "ids").mapInArrow(
-        run, "shard int, seq long, part int, n_ids long, docs array<long>, sizes array<long>, "
-             "points binary, stream binary")
-    out = stored(blocks, "blocks")
+    tokens.select("shard", "seq", "doc_id", "ids").mapInArrow(run, BLOCKS).write.parquet(
+        f"{path}/blocks")
     bc.unpersist()
-    return out
 
 
-def read_blocks(blocks: DataFrame, lengths: np.ndarray, digest: bool = False) -> DataFrame:
-    """Decode blocks: one row per piece of a document, (shard, seq, part, doc_id, n, ids).
+def read_blocks(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
+    """Decode the files under ``path``: one row per piece of a document, (shard, seq, part,
+    doc_id, n, ids as u32).
 
     ``seq`` is the document's number in its shard and ``part`` orders its pieces.  With
     ``digest`` the last column is ``crc``, the crc32 of the ids (u32), instead of them.
     """
-    bc = blocks.sparkSession.sparkContext.broadcast(lengths)
+    header = read_header(spark, path)
+    step, bc = header.step, spark.sparkContext.broadcast(header.lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decode_table(bc.value)
         for row in (r for batch in batches for i in range(batch.num_rows)
                     for r in batch.slice(i, 1).to_pylist()):
             ids = decode_bits(row["stream"], np.frombuffer(row["points"], "<u4"),
-                              row["n_ids"], table).astype("<u4")
+                              row["n_ids"], table, step).astype("<u4")
             n = np.array(row["sizes"])
             ends = np.cumsum(n)
             k = len(n)
@@ -257,6 +300,7 @@ def read_blocks(blocks: DataFrame, lengths: np.ndarray, digest: bool = False) ->
                  pa.array(row["docs"], pa.int64()), pa.array(n, pa.int64()), last],
                 names=["shard", "seq", "part", "doc_id", "n", "crc" if digest else "ids"])
 
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     return blocks.mapInArrow(run, "shard int, seq long, part int, doc_id long, n long, "
                              + ("crc long" if digest else "ids binary"))
 
@@ -285,29 +329,31 @@ def joined_crc(first: int, second: int, n_second: int) -> int:
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, max_bits: int = 20,
-                block: int = BLOCK) -> tuple[DataFrame, np.ndarray]:
-    """Write all documents as blocks; returns the block table and the code lengths.
+                block: int = BLOCK, path: str | None = None) -> str:
+    """Write all documents as token files; returns their folder.
 
-    The collected counts are one row per id of the vocabulary.
+    Without ``path`` that is a new one in the shared folder.  The collected counts are
+    one row per id of the vocabulary.
     """
-    enc = encoder(tokenizer)
+    enc, spark = encoder(tokenizer), docs.sparkSession
+    path = path or scratch_path(spark, "llm-token-files")
     tokens = token_table(docs, tokenizer, end_id)
     counts = np.zeros(max(enc.tok.get_vocab_size(), end_id + 1), np.int64)
     for row in id_counts(tokens, enc.dtype.str).collect():
         counts[row.id] = row.n
     lengths = code_lengths(counts, max_bits)
-    return write_blocks(tokens, lengths, enc.dtype.str, block), lengths
+    write_blocks(tokens, path, lengths, enc.dtype.str, block)
+    write_header(spark, path, Header(lengths, STEP, end_id, enc.dtype.str))
+    return path
 
 
-def read_digests(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32.
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """Per document, from the files under ``path``: doc_id, start, n_tokens, ids_crc32.
 
     Null texts are the end token alone; repeated ids follow each other; an empty
     table gives no rows.
     """
-    spark = blocks.sparkSession
-
-    pieces = stored(read_blocks(blocks, lengths, digest=True), "digests")
+    pieces = stored(read_blocks(spark, path, digest=True), "digests")
     # ids before each shard: one row per shard, as many as partitions
     totals = pieces.groupBy("shard").agg(F.sum("n").alias("n")).collect()
     bases, total = [], 0

@@ -19,9 +19,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as Huffman-coded token files, read them back, digest."""
-    blocks, lengths = huffman.token_files(_table(spark, sf_dir, "documents"),
-                                          public_tokenizers.path(TOKENIZER), end_id=1)
-    return huffman.read_digests(blocks, lengths)
+    path = huffman.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
+    return huffman.read_digests(spark, path)
 
 
 def op5_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

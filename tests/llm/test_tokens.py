@@ -1,3 +1,6 @@
+import pathlib
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -8,12 +11,14 @@ import pytest
 from edge import ROWS, documents, empty
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shelflife.llm import huffman as H
 from shelflife.llm import packing
 from shelflife.llm.tokens import Encoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+ROOT = pathlib.Path(__file__).parents[2]
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", "don't stop's a'b 'S x's", "café café ＡＢ", "a\xa0b c\x1cd\x85e",
        "ΣΑΣ Ὀδυσσεύς.", "<|endoftext|>x a<|startoftext|>b <|endof",
@@ -55,8 +60,8 @@ def expected(tokenizer, end_id):
 
 @pytest.mark.parametrize("block", [50, 1 << 19])
 def test_token_files_round_trip(spark, block):
-    blocks, lengths = H.token_files(documents(spark), WORDS, end_id=1, block=block)
-    got = H.read_digests(blocks, lengths).collect()
+    path = H.token_files(documents(spark), WORDS, end_id=1, block=block)
+    got = H.read_digests(spark, path).collect()
     want = expected(WORDS, 1)
     assert len(got) == len(ROWS)
     at = 0
@@ -66,13 +71,54 @@ def test_token_files_round_trip(spark, block):
         at += r.n_tokens
     ids = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
     assert ids == sorted(ids, key=lambda i: (i is not None, i))
-    pieces = H.read_blocks(blocks, lengths).collect()
+    pieces = H.read_blocks(spark, path).collect()
     assert sum(len(p.ids) // 4 for p in pieces) == at
 
 
+READER = """
+import sys
+from shelflife.llm import huffman as H
+from shelflife.session import get_session
+spark = get_session(master="local[2]")
+for r in H.read_digests(spark, sys.argv[1]).collect():
+    print(r.doc_id, r.start, r.n_tokens, r.ids_crc32)
+"""
+
+
+def test_another_process_reads_the_files_from_their_path(spark, tmp_path):
+    """Nothing is handed over but the path."""
+    path = H.token_files(documents(spark), WORDS, end_id=1, path=str(tmp_path / "files"))
+    want = sorted(f"{r.doc_id} {r.start} {r.n_tokens} {r.ids_crc32}"
+                  for r in H.read_digests(spark, path).collect())
+    got = subprocess.run([sys.executable, "-c", READER, path], cwd=ROOT, capture_output=True,
+                         text=True, timeout=300, check=True).stdout
+    assert sorted(got.splitlines()) == want and len(want) == len(ROWS)
+
+
+def test_a_header_that_is_not_whole_is_refused(spark, tmp_path):
+    path = H.token_files(documents(spark), WORDS, path=str(tmp_path / "files"))
+    header = H.read_header(spark, path)
+    assert header.end_id == 1 and header.lengths[1] > 0
+    other = str(tmp_path / "other")
+    row = spark.read.parquet(f"{path}/header").withColumn("end_id", F.lit(7).cast("long"))
+    row.write.parquet(f"{other}/header")
+    with pytest.raises(ValueError, match="check sum"):
+        H.read_blocks(spark, other)
+    row.withColumn("version", F.lit(9)).write.parquet(f"{other}2/header")
+    with pytest.raises(ValueError, match="version"):
+        H.read_blocks(spark, other + "2")
+
+
+def test_check_points_of_other_steps_are_read_by_the_header():
+    ids = np.arange(700, dtype=np.uint16) % 9
+    lengths = H.code_lengths(np.bincount(ids), 8)
+    stream, _ = H.encode_bits(ids, lengths, H.canonical(lengths))
+    points = np.cumsum(np.append(0, lengths[ids].astype(np.int64)))[:-1:100]
+    assert (H.decode_bits(stream, points, 700, H.decode_table(lengths), step=100) == ids).all()
+
+
 def test_token_files_of_an_empty_table(spark):
-    blocks, lengths = H.token_files(empty(spark), WORDS)
-    assert H.read_digests(blocks, lengths).count() == 0
+    assert H.read_digests(spark, H.token_files(empty(spark), WORDS)).count() == 0
 
 
 @settings(max_examples=60, deadline=None)
