@@ -44,16 +44,36 @@ t AS (
          CASE WHEN most::DOUBLE <= l.level * weight THEN most::DOUBLE
               ELSE f.level * weight END AS target
   FROM l LEFT JOIN f ON true),
+k AS (
+  SELECT source, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS weight,
+         sum(size)::BIGINT AS class_size
+  FROM d GROUP BY ALL),
+m AS (
+  SELECT k.source, weight, class_size, source_size, target,
+         target - (2 * coalesce(sum(class_size) OVER (big ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS rest,
+         (sum(class_size * weight) OVER (big ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS weights_left
+  FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+  WINDOW big AS (PARTITION BY k.source ORDER BY weight DESC)),
+p AS (
+  SELECT source, max_by(rest / weights_left, weight) AS level
+  FROM m WHERE weight > 0 AND weights_left * 2.0 > rest * weight::DOUBLE GROUP BY source),
+q AS (
+  SELECT m.*, CASE WHEN weight = 0 THEN 0.0 WHEN weights_left * 2.0 <= rest * weight::DOUBLE THEN 2.0
+                   ELSE level * weight::DOUBLE END AS copies
+  FROM m LEFT JOIN p ON m.source IS NOT DISTINCT FROM p.source),
+c AS (
+  SELECT *, target - (sum(floor(copies)::BIGINT * class_size) OVER (PARTITION BY source))::DOUBLE AS room
+  FROM q),
 r AS (
-  SELECT d.*, source_size, target,
-         CASE WHEN source_size > 0 THEN target / source_size::DOUBLE ELSE 0 END AS rate,
+  SELECT d.*, source_size, target, room, floor(copies) AS whole, copies - floor(copies) AS p,
          (('0x' || substr(tie, 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
+               AND weight = CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END)
 SELECT doc_id, size, source_size, target,
-       size * (floor(rate) + CASE WHEN rate > floor(rate) AND
-         coalesce(sum(size) OVER (PARTITION BY source ORDER BY u, tie
+       size * (whole + CASE WHEN p > 0 AND
+         coalesce(sum(size) OVER (PARTITION BY source, p > 0 ORDER BY u / (1 - u) * (1 - p) / p, tie
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-         + size / 2.0 <= target - floor(rate) * source_size THEN 1 ELSE 0 END)::BIGINT AS taken
+         + size / 2.0 <= room THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM r
 """
 OP8 = r"""

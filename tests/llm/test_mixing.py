@@ -91,3 +91,47 @@ def test_repeated_rows_at_the_edge_are_counted_off(spark):
         F.lit(5).cast("long").alias("doc_id"), F.lit("one two three").alias("text"),
         F.when(F.col("id") < 300, "a").otherwise("b").alias("source"))
     check(spark, docs, 50)
+
+
+def test_inclusion_follows_the_chances(spark):
+    """Sources of the same documents are samples of their own: in each class the share that is
+    taken once more is p, and p differs between the sizes of a source."""
+    from pyspark.sql import functions as F
+    docs = spark.range(24_000).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("w "), F.element_at(F.array(*map(F.lit, (1, 3, 6, 12, 25, 50))),
+                                           (F.col("id") % 6 + 1).cast("int"))).alias("text"),
+        F.format_string("s%03d", (F.col("id") / 600).cast("long")).alias("source"))
+    rows = M.sample(docs, 100).groupBy("weight", F.round("p", 6).alias("p"), "whole").agg(
+        F.avg(F.col("extra").cast("int")).alias("share"), F.count("*").alias("n")).collect()
+    big = [r for r in rows if r.n >= 1000 and 0 < r.p < 1]
+    assert len({r.p for r in big}) >= 6
+    for r in big:
+        assert abs(r.share - r.p) < 5 * (r.p * (1 - r.p) / r.n) ** 0.5 + 0.02, r
+    per_source = M.sample(docs, 100).filter("p > 0").groupBy("source").agg(
+        F.countDistinct("p").alias("n")).collect()
+    # the sources of weight 5, every third one, are taken twice as a whole
+    assert len(per_source) == 26 and all(r.n > 1 for r in per_source)
+
+
+def test_copies_grow_with_weight_and_stop(spark):
+    from pyspark.sql import functions as F
+    docs = documents(spark)
+    for r in M.sample(docs).collect():
+        assert 0 <= r.whole + r.p <= M.MOST
+    flat = M.sample(docs, weight=lambda size: F.lit(1)).filter("size > 0").collect()
+    by_source = defaultdict(set)
+    for r in flat:
+        by_source[r.source].add((r.whole, r.p))
+        assert r.whole + r.p == pytest.approx(r.target / r.source_size)
+    assert all(len(v) == 1 for v in by_source.values())
+
+
+def test_another_seed_is_another_sample_of_the_same_targets(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 40).cast("int")).alias("text"),
+        F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("source"))
+    a, b = ({r.doc_id: r for r in M.mix_report(docs, seed=x).collect()} for x in ("", "7"))
+    assert {i: r.target for i, r in a.items()} == {i: r.target for i, r in b.items()}
+    assert sum(a[i].taken != b[i].taken for i in a) > 300
