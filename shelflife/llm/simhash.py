@@ -7,8 +7,11 @@ triangle inequality bounds what can be near: two fingerprints within ``r`` bits
 different sides of a threshold ``m`` have distances of at least ``m - r + 1`` (the
 inner one) and at most ``m + r`` to the vantage point, so the inner ones of that
 band also go to the outer side, and every near pair meets in some shard.  Inside a
-shard the same tree goes on down to small leaves.  Leaves return links that span
-their components; links are joined by large and small stars.
+shard the same tree goes on down to small leaves.  What lies in a few bits of one centre cannot be cut: there, points
+are sets of the bits in which they differ from the centre, and those within ``r`` bits
+become equal once at most ``r`` bits in all are removed from the two, which a sort of all
+removals finds.  Leaves return links that span their components; links are joined by
+large and small stars.
 """
 
 from __future__ import annotations
@@ -23,10 +26,13 @@ from pyspark.sql import functions as F
 
 from shelflife.llm.common import partitions, slices, stored, text_bytes
 
-SHARD_ROWS = 16384      # fingerprints of a shard, about
+SHARD_ROWS = 16384      # fingerprints of a shard, about, while shards are fewer than partitions
+WIDE_ROWS = 131072      # fingerprints of a shard beyond that: fewer shards copy fewer rows
 MAX_SHARDS = 4096       # beyond this, shards grow and their own trees get deeper
 SAMPLE_PER_SHARD = 64   # sampled fingerprints for each shard of the first tree
-LEAF = 1024
+LEAF = 1024             # a leaf of so many is compared pair by pair
+REMOVALS = 64           # a leaf with no more removals a point, on average, needs no cut
+HELD = 1 << 22          # removals sorted at a time
 
 
 def fingerprint(text: bytes, n_words: int = 3, seed: int = 42) -> int:
@@ -117,34 +123,116 @@ def route(tree, points: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarr
     yield from route(outer_tree, points[outer], radius)
 
 
+def _labels(label: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """The lowest number of each group that ``label`` and the links ``near`` (n, 2) connect."""
+    old = np.flatnonzero(label != np.arange(len(label)))
+    near = np.concatenate([near, np.stack([old, label[old]], axis=1)])
+    while len(near):  # the lowest number spreads through each group
+        low = np.minimum(label[near[:, 0]], label[near[:, 1]])
+        new = label.copy()
+        np.minimum.at(new, near[:, 0], low)
+        np.minimum.at(new, near[:, 1], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
+def _pairwise(own: np.ndarray, radius: int) -> np.ndarray:
+    """Labels of the groups of near points, comparing all with all, in blocks."""
+    rows = max(1, (1 << 20) // max(1, len(own)))
+    label = np.arange(len(own))
+    near = [np.zeros((0, 2), int)]
+    for a in range(0, len(own), rows):
+        close = np.bitwise_count(own[a:a + rows, None] ^ own[None, :]) <= radius
+        i, j = np.divmod(np.flatnonzero(close), len(own))
+        keep = i + a < j
+        near.append(np.stack([i[keep] + a, j[keep]], axis=1))
+        if sum(map(len, near)) > HELD:
+            label, near = _labels(label, np.concatenate(near)), [np.zeros((0, 2), int)]
+    return _labels(label, np.concatenate(near))
+
+
+def _centre(own: np.ndarray) -> np.uint64:
+    """The point whose every bit is that of the majority (of up to 4096 points)."""
+    seen = np.ascontiguousarray(own[::max(1, len(own) // 4096)])
+    ones = np.unpackbits(seen.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
+    return np.packbits(2 * ones > len(seen), bitorder="little").view(np.uint64)[0]
+
+
+def _removals(diff: np.ndarray, radius: int) -> np.ndarray:
+    """How many ways there are to take up to ``radius`` bits from each point."""
+    d = np.bitwise_count(diff).astype(np.int64)
+    ways, total = np.ones(len(d), np.int64), np.ones(len(d), np.int64)
+    for k in range(radius):
+        ways = ways * np.maximum(d - k, 0) // (k + 1)
+        total += ways
+    return total
+
+
+def _removed(diff: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(bits removed, what is left, number of the point) for each way to remove up to ``radius``."""
+    todo = [(0, diff, diff, np.arange(len(diff), dtype=np.int32))]
+    while todo:
+        k, key, rest, at = todo.pop()
+        yield k, key, at
+        while k < radius:  # bits are removed in ascending order, so each way comes once
+            some = rest != 0
+            key, rest, at = key[some], rest[some], at[some]
+            if not len(at):
+                break
+            lowest = rest & (~rest + np.uint64(1))
+            rest = rest ^ lowest
+            todo.append((k + 1, key ^ lowest, rest, at))
+
+
+def _by_removals(own: np.ndarray, radius: int) -> np.ndarray:
+    """Labels of the groups of near points, by what is left of them when bits are removed.
+
+    Two points within ``radius`` bits leave the same when each loses what only it has;
+    points that leave the same are as near as the number of bits they lost together, so
+    a star around the one that lost least connects all such pairs.
+    """
+    diff = own ^ _centre(own)
+    passes = 1 + int(_removals(diff, radius).sum()) // HELD
+    label = np.arange(len(own))
+    for p in range(passes):
+        held: list[list] = [[] for _ in range(radius + 1)]
+        for a in range(0, len(own), 1 << 16):
+            for k, key, at in _removed(diff[a:a + (1 << 16)], radius):
+                if passes > 1:
+                    mine = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(passes) == p
+                    key, at = key[mine], at[mine]
+                held[k].append((key, at + a))
+        lost = np.repeat(np.arange(radius + 1), [sum(len(k) for k, _ in h) for h in held])
+        key = np.concatenate([k for h in held for k, _ in h])
+        at = np.concatenate([i for h in held for _, i in h])
+        order = np.argsort(key, kind="stable")  # of equal ones, who lost least comes first
+        key, at, lost = key[order], at[order], lost[order]
+        begins = np.append(True, key[1:] != key[:-1])
+        head = np.flatnonzero(begins)[np.cumsum(begins) - 1] if len(key) else np.zeros(0, int)
+        near = ~begins[:len(key)] & (lost + lost[head] <= radius)
+        label = _labels(label, np.stack([at[near], at[head[near]]], axis=1).astype(np.int64))
+    return label
+
+
 def near_links(points: np.ndarray, radius: int) -> np.ndarray:
     """Links (n, 2) that connect every pair within ``radius`` bits, spanning each leaf's groups."""
     rng, links, todo = np.random.default_rng(0), [], [points]
     while todo:
         own = todo.pop()
-        cut = _split(own, radius, rng) if len(own) > LEAF else None
-        if cut is not None:
-            inner, outer = _sides(own, *cut, radius)
-            todo += [own[inner], own[outer]]
-            continue
-        label = np.arange(len(own))
-        rows = max(1, (1 << 20) // max(1, len(own)))
-        near = []
-        for a in range(0, len(own), rows):
-            close = np.bitwise_count(own[a:a + rows, None] ^ own[None, :]) <= radius
-            i, j = np.divmod(np.flatnonzero(close), len(own))
-            keep = i + a < j
-            near.append(np.stack([i[keep] + a, j[keep]], axis=1))
-        near = np.concatenate(near) if near else np.zeros((0, 2), int)
-        while len(near):  # the lowest number spreads through each group
-            low = np.minimum(label[near[:, 0]], label[near[:, 1]])
-            new = label.copy()
-            np.minimum.at(new, near[:, 0], low)
-            np.minimum.at(new, near[:, 1], low)
-            new = new[new]
-            if (new == label).all():
-                break
-            label = new
+        dense = False
+        if len(own) > LEAF:
+            ways = _removals(own[::max(1, len(own) // 4096)] ^ _centre(own), radius).mean()
+            dense = ways <= REMOVALS
+            cut = None if dense else _split(own, radius, rng)
+            if cut is not None:
+                inner, outer = _sides(own, *cut, radius)
+                todo += [own[inner], own[outer]]
+                continue
+            dense = dense or 16 * ways < len(own)
+        label = _by_removals(own, radius) if dense else _pairwise(own, radius)
         linked = np.flatnonzero(label != np.arange(len(own)))
         links.append(np.stack([own[linked], own[label[linked]]], axis=1))
     return np.concatenate(links) if links else np.zeros((0, 2), np.uint64)
@@ -158,7 +246,7 @@ def links(fps: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS) -> Data
     """
     spark = fps.sparkSession
     n = fps.count()
-    shards = min(MAX_SHARDS, max(1, n // shard_rows))
+    shards = min(MAX_SHARDS, max(1, min(n // shard_rows, partitions(spark)), n // WIDE_ROWS))
     share = min(1.0, shards * SAMPLE_PER_SHARD / max(1, n))
     sample = fps.filter((F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
     points = np.array([r.fp for r in sample.select("fp").collect()], np.int64).view(np.uint64)

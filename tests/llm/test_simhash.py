@@ -87,6 +87,38 @@ def test_tree_finds_every_link(monkeypatch, n, leaf):
         assert got.get(p, p) == root
 
 
+def ball(n, bits, seed=0):
+    """Distinct fingerprints that differ from one centre in up to ``bits`` bits."""
+    rng = np.random.default_rng(seed)
+    out = np.full(n, rng.integers(0, 1 << 63, dtype=np.uint64))
+    for _ in range(bits):
+        flip = rng.random(n) < 0.9
+        out[flip] ^= np.uint64(1) << rng.integers(0, 64, int(flip.sum()), dtype=np.uint64)
+    return np.unique(out)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+@pytest.mark.parametrize("bits,held", [(3, 1 << 22), (6, 5000), (12, 1 << 22)])
+def test_removals_find_every_link_of_a_ball(monkeypatch, radius, bits, held):
+    monkeypatch.setattr(S, "HELD", held)
+    points = ball(1500, bits)
+    want = brute_components(points, radius)
+    label = S._by_removals(points, radius)
+    assert {int(p): int(points[i]) for p, i in zip(points, label)} == want
+    assert (S._pairwise(points, radius) == label).all()
+
+
+def test_a_dense_ball_takes_no_square_of_its_size(monkeypatch):
+    monkeypatch.setattr(S, "_pairwise", None)
+    points = ball(60_000, 5)
+    got = joined(S.near_links(points, 2))
+    some = points[::500]
+    label = {int(p): got.get(int(p), int(p)) for p in points}
+    for p in some:
+        for q in points[np.bitwise_count(points ^ p) <= 2]:
+            assert label[int(p)] == label[int(q)]
+
+
 def test_links_over_shards_equal_brute_force(spark):
     points = planted(4000, 3, seed=3)
     df = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
