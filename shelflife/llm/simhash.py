@@ -242,7 +242,9 @@ def links(fps: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS) -> Data
     """(a, b): links between distinct fingerprints ``fp`` that span their near groups.
 
     The sample that places the cuts is bounded by MAX_SHARDS * SAMPLE_PER_SHARD times
-    a small factor; it decides balance alone, every fingerprint is routed.
+    a small factor; it decides balance alone, every fingerprint is routed.  Fingerprints
+    in the band of a cut are routed to both sides, so the copies of one grow with the
+    number of shards.
     """
     spark = fps.sparkSession
     n = fps.count()
