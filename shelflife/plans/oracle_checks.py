@@ -117,7 +117,8 @@ def oracle_checks() -> dict[str, str]:
         "dq_summary_dirty": sql(dq_summary_sql(dirty), *DIRTY_CTES),
         # file round trips: the data must come back unchanged
         "csv_sink": sql(" UNION ALL ".join(
-            f"SELECT '{n}' AS table_name, count(*) AS row_count, count(DISTINCT {_text(n)}) AS distinct_rows "
+            f"SELECT '{n}' AS table_name, count(*) AS row_count, count(DISTINCT {_text(n)}) AS distinct_rows, "
+            f"CAST(SUM(CAST('0x' || substr(md5({_text(n)}), 1, 12) AS BIGINT)) AS DECIMAL(38,0)) AS row_digests "
             f"FROM {n}" for n in TABLE_NAMES)),
         "csv_scan": sql(" UNION ALL ".join(
             f"SELECT '{n}' AS table_name, {_text(n)} AS row_text FROM {n}" for n in TABLE_NAMES)),
