@@ -287,7 +287,11 @@ class Model:
 
 
 def extract(html: str, model: Model) -> str:
-    """The main text: kept blocks in page order, one a line; "" if none."""
+    """The main text: kept blocks in page order, one a line; "" if none.
+
+    White space inside a block is what Unicode calls so, no-break and ideographic spaces
+    included; it becomes one space.
+    """
     page = Page(html)
     keep = [p[CONTENT] >= p[BOX] + p[INSIDE] for p in model.marginals(page)]
     blocks, block = [], []

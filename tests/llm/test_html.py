@@ -50,6 +50,11 @@ def test_main_text(page, want):
     assert H.extract(page, MODEL) == want
 
 
+def test_white_space_is_that_of_unicode():
+    page = f"<html><body><article><p>{'Some words of an article here '*3}a&nbsp;b&#12288;c\t\n d</p></article></body></html>"
+    assert H.extract(page, MODEL) == "Some words of an article here " * 3 + "a b c d"
+
+
 def test_marginals_are_probabilities_and_match_enumeration():
     """Sum-product against the sum over all states of a small tree."""
     from itertools import product
