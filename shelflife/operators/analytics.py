@@ -17,14 +17,10 @@ from pyspark.sql.window import Window
 from shelflife.functions.dates import DEFAULT_AS_OF, age_band, band_rank, days_until
 from shelflife.functions.money import CUM_MONEY, MONEY, RATE, pct, ratio_half_up
 from shelflife.operators.cells import reduced
-from shelflife.operators.common import Tables, warehouses
+from shelflife.operators.common import Tables, products, warehouses
 from shelflife.operators.staging import batch_position
 
 
-def _products(t: Tables, *cols: str) -> DataFrame:
-    return t["dim_products"].select("product_id", *cols)
-
-
 def _month(c: str, by_year: bool) -> list:
     cols = [F.month(c).alias("sale_month")]
     if by_year:
@@ -40,7 +36,7 @@ def _expiry_by_product_warehouse(t: Tables) -> DataFrame:
     Same rows as filtering the enriched adjustments view on 'Expiry'.
     """
     return (
-        reduced(t, "expiry").join(_products(t, "category", "base_cost"), "product_id")
+        reduced(t, "expiry").join(products(t, "category", "base_cost"), "product_id")
         .join(warehouses(t, "warehouse_id", "warehouse_name", "region"), "warehouse_id")
         .withColumn("cost", F.col("units") * F.col("base_cost"))
     )
@@ -62,7 +58,7 @@ def expiry_loss_rate_by_category(t: Tables) -> DataFrame:
     """
     rec = (t["fact_goods_receipts"].groupBy("warehouse_id", "product_id", "supplier_id")
            .agg(F.sum("quantity_received").alias("units")))
-    rec = (rec.join(_products(t, "category"), "product_id")
+    rec = (rec.join(products(t, "category"), "product_id")
            .join(warehouses(t, "warehouse_id"), "warehouse_id")
            .join(t["dim_suppliers"].select("supplier_id"), "supplier_id")
            .groupBy("category").agg(F.sum("units").alias("total_units_received")))
@@ -92,7 +88,7 @@ def expiry_loss_by_warehouse(t: Tables) -> DataFrame:
 
 def _by_warehouse_category(df: DataFrame, t: Tables, **aggs) -> DataFrame:
     per = df.groupBy("warehouse_id", "product_id").agg(*[v.alias(k) for k, v in aggs.items()])
-    return (per.join(_products(t, "category"), "product_id")
+    return (per.join(products(t, "category"), "product_id")
             .groupBy("warehouse_id", "category")
             .agg(*[F.sum(k).alias(k) for k in aggs]))
 
@@ -122,7 +118,7 @@ def receipts_reduced(t: Tables, *keys: Column | str) -> DataFrame:
     """Receipts of known products and warehouses, reduced to (supplier, product, warehouse,
     ``keys``) before the dimensions are tested: count, units, and price sum, max, min."""
     r = reduced(t, "receipts", *keys)
-    return (r.join(_products(t), "product_id", "left_semi")
+    return (r.join(products(t), "product_id", "left_semi")
             .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi"))
 
 
@@ -132,7 +128,7 @@ def batches_per_supplier(t: Tables) -> DataFrame:
     ``batch_id`` is the key of the receipts, so this holds one row per receipt at most."""
     r = t["fact_goods_receipts"].groupBy("supplier_id", "batch_id", "product_id", "warehouse_id").agg(
         F.count(F.lit(1)).alias("n"))
-    return (r.join(_products(t), "product_id", "left_semi")
+    return (r.join(products(t), "product_id", "left_semi")
             .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi")
             .groupBy("supplier_id", "batch_id").agg(F.sum("n").alias("n")))
 
@@ -170,7 +166,7 @@ def supplier_cost_volatility(t: Tables) -> DataFrame:
 def _margin(t: Tables, revenue: str, by_year: bool) -> DataFrame:
     per = reduced(t, "margin", *_month("sale_date", by_year)).withColumn("rev", F.col(revenue))
     month_cols = ["sale_year", "sale_month"] if by_year else ["sale_month"]
-    g = (per.join(_products(t, "category"), "product_id")
+    g = (per.join(products(t, "category"), "product_id")
          .join(warehouses(t, "warehouse_id"), "warehouse_id")
          .groupBy(*month_cols, "category")
          .agg(F.sum("rev").alias("rev"), F.sum("cost").alias("cost")))
@@ -203,7 +199,7 @@ def gross_margin_allocated(t: Tables, by_year: bool = False) -> DataFrame:
 # ---- warehouses --------------------------------------------------------------
 
 def _warehouse_summaries(t: Tables) -> DataFrame:
-    sales = (reduced(t, "sales").join(_products(t), "product_id")
+    sales = (reduced(t, "sales").join(products(t), "product_id")
              .groupBy("warehouse_id").agg(F.sum("rev").cast(MONEY).alias("total_revenue")))
     w = warehouses(t, "warehouse_id", "warehouse_name", "region")
     expiry = (_expiry_by_product_warehouse(t).groupBy("warehouse_id")
@@ -251,7 +247,7 @@ def active_batches(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
     warehouse exist), as in the model's query.
     """
     adj = (t["fact_inventory_adjustments"]
-           .join(_products(t), "product_id", "left_semi")
+           .join(products(t), "product_id", "left_semi")
            .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi"))
     return batch_position(t, as_of, adjustments=adj)
 
@@ -282,7 +278,7 @@ def inventory_aging_summary_sorted(t: Tables, as_of=DEFAULT_AS_OF) -> DataFrame:
 def _monthly_revenue_by_category(t: Tables, by_year: bool) -> DataFrame:
     per = reduced(t, "sales", *_month("sale_date", by_year))
     month_cols = ["sale_year", "sale_month"] if by_year else ["sale_month"]
-    return (per.join(_products(t, "category"), "product_id")
+    return (per.join(products(t, "category"), "product_id")
             .join(warehouses(t, "warehouse_id"), "warehouse_id")
             .groupBy(*month_cols, "category")
             .agg(F.sum("rev").cast(MONEY).alias("monthly_revenue")))
@@ -291,7 +287,7 @@ def _monthly_revenue_by_category(t: Tables, by_year: bool) -> DataFrame:
 def _monthly_expiry_by_category(t: Tables, by_year: bool) -> DataFrame:
     e = reduced(t, "expiry", *_month("adjustment_date", by_year))
     month_cols = ["sale_year", "sale_month"] if by_year else ["sale_month"]
-    return (e.join(_products(t, "category", "base_cost"), "product_id")
+    return (e.join(products(t, "category", "base_cost"), "product_id")
             .join(warehouses(t, "warehouse_id"), "warehouse_id")
             .groupBy(*month_cols, "category")
             .agg(F.sum(F.col("units") * F.col("base_cost")).cast(MONEY)

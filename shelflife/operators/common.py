@@ -17,6 +17,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def products(t: Tables, *cols: str) -> DataFrame:
+    """The product dimension: its key and ``cols``."""
+    return t["dim_products"].select("product_id", *cols)
+
+
 def warehouses(t: Tables, *cols: str) -> DataFrame:
     """The warehouse dimension.  No hint: the planner and AQE broadcast it when its
     measured size is under ``spark.sql.autoBroadcastJoinThreshold``."""

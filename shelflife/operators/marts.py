@@ -16,17 +16,13 @@ from shelflife.functions.dates import DEFAULT_AS_OF
 from shelflife.functions.money import MONEY, pct, ratio_half_up
 from shelflife.operators.analytics import receipts_reduced, batches_per_supplier
 from shelflife.operators.cells import cells, reduced
-from shelflife.operators.common import Tables, union_all, warehouses
+from shelflife.operators.common import Tables, products, union_all, warehouses
 from shelflife.operators.distinct import bitmaps, distinct_counts
 from shelflife.operators.staging import inventory_aging
 
 MONTHS = tuple(range(1, 13))
 
 
-def _products(t: Tables, *cols: str) -> DataFrame:
-    return t["dim_products"].select("product_id", *cols)
-
-
 def _period(c: str, name: str, kind: str, by_year: bool) -> list[Column]:
     fn = {"month": F.month, "quarter": F.quarter}[kind]
     cols = [fn(c).alias(name)]
@@ -37,18 +33,18 @@ def _period(c: str, name: str, kind: str, by_year: bool) -> list[Column]:
 
 def _revenue(t: Tables, *period: Column) -> DataFrame:
     """Gross revenue per (warehouse, product, period...), only rows the enriched view keeps."""
-    return (reduced(t, "sales", *period).join(_products(t, "category"), "product_id")
+    return (reduced(t, "sales", *period).join(products(t, "category"), "product_id")
             .join(warehouses(t, "warehouse_id", "warehouse_name"), "warehouse_id"))
 
 
 def _expiry(t: Tables, *period: Column) -> DataFrame:
-    return (reduced(t, "expiry", *period).join(_products(t, "category", "base_cost"), "product_id")
+    return (reduced(t, "expiry", *period).join(products(t, "category", "base_cost"), "product_id")
             .join(warehouses(t, "warehouse_id", "warehouse_name"), "warehouse_id")
             .withColumn("loss", F.col("units") * F.col("base_cost")))
 
 
 def _allocated_margin(t: Tables, *period: Column) -> DataFrame:
-    return (reduced(t, "margin", *period).join(_products(t, "category"), "product_id")
+    return (reduced(t, "margin", *period).join(products(t, "category"), "product_id")
             .join(warehouses(t, "warehouse_id"), "warehouse_id"))
 
 
@@ -145,7 +141,7 @@ def stockout_heatmap(t: Tables, categories: tuple[str, ...]) -> DataFrame:
     them; ``other`` counts the events of all further categories and ``total`` all.
     """
     per = (reduced(t, "stockouts").withColumnRenamed("events", "n")
-           .join(_products(t, "category"), "product_id")
+           .join(products(t, "category"), "product_id")
            .join(warehouses(t, "warehouse_id", "warehouse_name"), "warehouse_id"))
     column = F.when(F.col("category").isin(*categories), F.col("category")).otherwise("other")
     names = [*categories, "other"]
@@ -158,7 +154,7 @@ def stockout_heatmap(t: Tables, categories: tuple[str, ...]) -> DataFrame:
 def stockout_rate_by_category(t: Tables) -> DataFrame:
     """Stock-out events per 100 sales, per category."""
     def per_cat(cell: str, n: str, name: str) -> DataFrame:
-        return (reduced(t, cell).join(_products(t, "category"), "product_id")
+        return (reduced(t, cell).join(products(t, "category"), "product_id")
                 .join(warehouses(t, "warehouse_id"), "warehouse_id")
                 .groupBy("category").agg(F.sum(n).alias(name)))
     so = per_cat("stockouts", "events", "total_stockout_events")
@@ -203,7 +199,7 @@ def batch_volume_by_supplier(t: Tables) -> DataFrame:
 
 def supplier_batch_bitmaps(t: Tables, numbers: DataFrame) -> DataFrame:
     """(supplier_id, receipt_month, bucket, bitmap): the batches of L12 by month, to be kept."""
-    r = (t["fact_goods_receipts"].join(_products(t), "product_id", "left_semi")
+    r = (t["fact_goods_receipts"].join(products(t), "product_id", "left_semi")
          .join(warehouses(t, "warehouse_id"), "warehouse_id", "left_semi"))
     return bitmaps(r, "batch_id", ["supplier_id", F.trunc("receipt_date", "month").alias("receipt_month")], numbers)
 

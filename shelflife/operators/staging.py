@@ -6,22 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelflife.functions.dates import DEFAULT_AS_OF, age_band, as_date, days_until
-from shelflife.operators.common import Tables, warehouses
+from shelflife.operators.common import Tables, products, warehouses
 
 PRODUCT_COLS = ("product_name", "category", "base_cost", "base_price", "shelf_life_days")
 WAREHOUSE_COLS = ("warehouse_name", "region", "cold_storage_flag")
 SUPPLIER_COLS = ("supplier_name", "supplier_city", "average_lead_time_days", "reliability_score")
 
 
-def _products(t: Tables, *cols: str) -> DataFrame:
-    return t["dim_products"].select("product_id", *cols)
-
-
 def sales_enriched(t: Tables) -> DataFrame:
     """Sales with product and warehouse attributes (inner joins)."""
     s = t["fact_sales"]
     return (
-        s.join(_products(t, *PRODUCT_COLS), "product_id")
+        s.join(products(t, *PRODUCT_COLS), "product_id")
         .join(warehouses(t, "warehouse_id", *WAREHOUSE_COLS), "warehouse_id")
         .select("sale_id", "sale_date", "warehouse_id", "product_id", "quantity_sold",
                 "selling_price_per_unit", "discount_percent", "promotion_flag",
@@ -34,7 +30,7 @@ def goods_receipts_enriched(t: Tables) -> DataFrame:
     r = t["fact_goods_receipts"]
     sup = t["dim_suppliers"].select("supplier_id", *SUPPLIER_COLS)
     return (
-        r.join(_products(t, *PRODUCT_COLS), "product_id")
+        r.join(products(t, *PRODUCT_COLS), "product_id")
         .join(warehouses(t, "warehouse_id", *WAREHOUSE_COLS), "warehouse_id")
         .join(sup, "supplier_id")
         .select("receipt_id", "receipt_date", "warehouse_id", "product_id",
@@ -47,7 +43,7 @@ def adjustments_enriched(t: Tables) -> DataFrame:
     """Inventory adjustments with product and warehouse attributes (inner joins)."""
     a = t["fact_inventory_adjustments"]
     return (
-        a.join(_products(t, *PRODUCT_COLS), "product_id")
+        a.join(products(t, *PRODUCT_COLS), "product_id")
         .join(warehouses(t, "warehouse_id", *WAREHOUSE_COLS), "warehouse_id")
         .select("adjustment_id", "adjustment_date", "warehouse_id", "product_id", "batch_id",
                 "adjustment_type", "quantity_adjusted", "reason_notes",
@@ -66,7 +62,7 @@ def expiry_by_receipt(t: Tables) -> DataFrame:
     exp = _expired_per_batch(t["fact_inventory_adjustments"], "qe")
     return (
         r.join(exp, "batch_id", "left")
-        .join(_products(t, "category"), "product_id")
+        .join(products(t, "category"), "product_id")
         .join(warehouses(t, "warehouse_id", "warehouse_name", "region"), "warehouse_id")
         .select("product_id", "category", "warehouse_id", "warehouse_name", "region",
                 "receipt_date", "quantity_received",
@@ -110,7 +106,7 @@ def inventory_aging(t: Tables, as_of=DEFAULT_AS_OF, position: DataFrame | None =
     b = batch_position(t, as_of) if position is None else position
     days = days_until(F.col("expiry_date"), as_of)
     return (
-        b.join(_products(t, "category"), "product_id")
+        b.join(products(t, "category"), "product_id")
         .join(warehouses(t, "warehouse_id", "warehouse_name", "region"), "warehouse_id")
         .select("batch_id", "product_id", "category", "warehouse_id", "warehouse_name", "region",
                 "receipt_date", "expiry_date", "purchase_price_per_unit", "quantity_received",
