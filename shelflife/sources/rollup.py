@@ -10,12 +10,15 @@ never a fact.
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflife.operators.cells import CELLS
+from shelflife.session import PACKED
 from shelflife.sources.store import PERIOD, Store, next_period, period_of
 from shelflife.tables import Tables
 
@@ -23,13 +26,22 @@ STATE = "period string, files string, written_ns long"
 
 
 class Rollup(Tables):
-    """The tables of a store with stored measures: ``cells`` gives them to the reports."""
+    """The tables of a store with stored measures: ``cells`` gives them to the reports.
 
-    def __init__(self, store: Store, root: str):
+    With ``fresh`` a measure is brought up to date (:func:`refresh`) when it is first read;
+    otherwise the caller has refreshed ``root``.
+    """
+
+    def __init__(self, store: Store, root: str, fresh: bool = False):
         super().__init__({n: (lambda n=n: store[n]) for n in store})
         self._spark, self._root, self._store = store["dim_products"].sparkSession, root.rstrip("/"), store
+        self._stale, self._lock = set(CELLS) if fresh else set(), threading.Lock()
 
     def cells(self, name: str) -> DataFrame:
+        with self._lock:
+            if name in self._stale:
+                refresh(self._store, self._root, [name])
+                self._stale.remove(name)
         return self._spark.read.parquet(f"{self._root}/{name}").drop(PERIOD)
 
 
@@ -66,8 +78,18 @@ def _known(spark: SparkSession, root: str, name: str) -> dict[str, str]:
     return {r["period"]: r["files"] for r in latest.collect()}    # one row a period
 
 
-def refresh(store: Store, root: str) -> dict[str, list[str]]:
-    """Bring the rollup under ``root`` up to date; returns the periods made again, by cell.
+def _sums(store: Store, name: str, periods: list[str]) -> DataFrame:
+    """A cell's rows of some periods: one exchange, that of the sums.  It deals each period
+    over the tasks, so the write needs no other."""
+    cell = CELLS[name]
+    facts = Tables({f: (lambda f=f: _periods(store, f, periods)) for f in cell.facts})
+    sums = cell.added(cell.rows(facts), F.trunc(cell.date, "month").alias(cell.date))
+    return sums.withColumn(PERIOD, period_of(cell.date, store.unit))
+
+
+def refresh(store: Store, root: str, names: Iterable[str] = tuple(CELLS)) -> dict[str, list[str]]:
+    """Bring the cells ``names`` (all) of the rollup under ``root`` up to date; returns the
+    periods made again, by cell.
 
     A period's folder is replaced whole and its state noted after that, so a refresh that
     was killed makes the period again.
@@ -80,14 +102,12 @@ def refresh(store: Store, root: str) -> dict[str, list[str]]:
     done: dict[str, list[str]] = {}
 
     def bring(name: str) -> None:
-        cell, now, known = CELLS[name], sources(store, name), _known(spark, root, name)
+        now, known = sources(store, name), _known(spark, root, name)
         changed = sorted(p for p, files in now.items() if known.get(p) != files)
         gone = sorted(p for p in known if p not in now)
         if changed:
-            facts = Tables({f: (lambda f=f: _periods(store, f, changed)) for f in cell.facts})
-            sums = cell.added(cell.rows(facts), F.trunc(cell.date, "month").alias(cell.date))
-            (sums.withColumn(PERIOD, period_of(cell.date, store.unit)).repartition(PERIOD, *cell.keys)
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (_sums(store, name, changed)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**PACKED)
              .partitionBy(PERIOD).parquet(f"{root}/{name}"))
         for p in gone:
             _remove_path(spark, f"{root}/{name}/{PERIOD}={p}")
@@ -96,7 +116,7 @@ def refresh(store: Store, root: str) -> dict[str, list[str]]:
         if note:
             spark.createDataFrame(note, STATE).coalesce(1).write.mode("append").json(f"{root}/_sources/{name}")
 
-    _each(CELLS, bring)
+    _each(names, bring)
     return done
 
 

@@ -70,3 +70,21 @@ def test_only_changed_periods_are_made_again(spark, small):
     now = small.replace(fact_inventory_adjustments=store["fact_inventory_adjustments"])
     assert rows(L.expiry_loss_by_month(R.Rollup(store, root))) == rows(L.expiry_loss_by_month(now))
     assert rows(L.expiry_loss_by_month(now)) != rows(L.expiry_loss_by_month(small))
+
+
+def test_a_report_makes_its_own_measures_alone(spark, small, store):
+    folder = A.scratch_path(spark, "test-fresh-rollup")
+    t = R.Rollup(store, folder, fresh=True)
+    assert rows(L.purchase_price_by_month(t)) == rows(L.purchase_price_by_month(small))
+    assert [n for n in CELLS if R._folders(spark, f"{folder}/{n}")] == ["receipts"]
+    # the other measures follow when a report asks for them, and none is made twice
+    assert rows(L.kpi_executive(t)) == rows(L.kpi_executive(small))
+    assert {n for n in CELLS if not any(R.refresh(store, folder, [n]).values())} == {
+        "receipts", "sales", "expiry", "stockouts", "margin"}
+
+
+@pytest.mark.parametrize("name", CELLS)
+def test_a_measure_is_dealt_out_once(spark, store, name):
+    sums = R._sums(store, name, sorted(R.sources(store, name)))
+    text = sums._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
