@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from shelflife.functions.dates import as_date
 from shelflife.operators.common import EXPIRY
 from shelflife.operators.staging import lot_position
+from shelflife.session import PACKED
 from shelflife.sources.store import PERIOD, Store, first_day, next_period, period_of
 
 LOT = "batch_id string, warehouse_id string, product_id string, receipt_date date, expiry_date date, quantity_received int"
@@ -58,6 +59,21 @@ def _ran_out(snapshots: DataFrame, movements: DataFrame, unit: str) -> DataFrame
             .select("batch_id", "warehouse_id", "product_id", "expiry_date", left.alias("quantity_left"), PERIOD))
 
 
+def _before(alive: DataFrame, moves: DataFrame) -> DataFrame:
+    """Lots by the periods that they are alive in, with the units that had left them before.
+
+    Lots' periods and movements meet in one dealing out by lot, which both the sums by
+    period and the running sum over them keep to.
+    """
+    whole = alive.select("batch_id", PERIOD, "q", F.struct(*LOT_COLUMNS[1:]).alias("lot")).unionByName(
+        moves.select("batch_id", PERIOD, "q"), allowMissingColumns=True)
+    per = (whole.repartition("batch_id").groupBy("batch_id", PERIOD)
+           .agg(F.sum("q").alias("q"), F.first("lot", True).alias("lot")))
+    before = Window.partitionBy("batch_id").orderBy(PERIOD).rowsBetween(Window.unboundedPreceding, -1)
+    return (per.withColumn("out_before", F.coalesce(F.sum("q").over(before), F.lit(0)))
+            .where("lot is not null").select("batch_id", "lot.*", "out_before", PERIOD))
+
+
 def build(store: Store, root: str, until: dt.date | None = None) -> None:
     """Write the balances of all periods (before ``until``) from the published facts.
 
@@ -71,7 +87,7 @@ def build(store: Store, root: str, until: dt.date | None = None) -> None:
     def write(df: DataFrame, name: str) -> DataFrame:
         columns = [c.split()[0] for c in SCHEMAS[name].split(", ")]
         (df.select(*columns).repartitionByRange(n, PERIOD, "batch_id")
-         .write.mode("overwrite").partitionBy(PERIOD).parquet(f"{root}/{name}"))
+         .write.mode("overwrite").options(**PACKED).partitionBy(PERIOD).parquet(f"{root}/{name}"))
         return _read(spark, root, name)
 
     facts = [store.between(f, None, until) for f in ("fact_sales", "fact_sale_batch_map", "fact_inventory_adjustments")]
@@ -83,13 +99,7 @@ def build(store: Store, root: str, until: dt.date | None = None) -> None:
     step = F.expr({"month": "interval 1 month", "quarter": "interval 3 months", "year": "interval 1 year"}[unit])
     alive = lots.where(first <= last).select(
         *LOT_COLUMNS, F.explode(F.sequence(first, last, step)).alias(PERIOD), F.lit(0).cast("long").alias("q"))
-    # lots' periods and movements' periods meet in one aggregate, then one running sum a lot
-    whole = alive.select("batch_id", PERIOD, "q", F.struct(*LOT_COLUMNS[1:]).alias("lot")).unionByName(
-        moves.groupBy("batch_id", PERIOD).agg(F.sum("q").alias("q")).withColumn("lot", F.lit(None)), allowMissingColumns=True)
-    per = whole.groupBy("batch_id", PERIOD).agg(F.sum("q").alias("q"), F.first("lot", True).alias("lot"))
-    before = Window.partitionBy("batch_id").orderBy(PERIOD).rowsBetween(Window.unboundedPreceding, -1)
-    snaps = write(per.withColumn("out_before", F.coalesce(F.sum("q").over(before), F.lit(0)))
-                  .where("lot is not null").select("batch_id", "lot.*", "out_before", PERIOD), "snapshots")
+    snaps = write(_before(alive, moves), "snapshots")
     write(_ran_out(snaps, moves, unit), "expired")
     write(lot_position(lots, facts[1], facts[2]).withColumn(PERIOD, period_of("expiry_date", unit)), "positions")
 

@@ -109,3 +109,27 @@ def test_open_lots_hold_what_was_not_taken(spark, small, store):
             .select("batch_id", "warehouse_id", "product_id", "expiry_date",
                     (F.col("quantity_received") - F.coalesce("q", F.lit(0))).alias("units_left")).where("units_left > 0"))
     same(steps.open_lots(spark, folder), lots)
+
+
+def test_snapshots_are_dealt_out_once(spark):
+    lots = spark.createDataFrame(
+        [("B1", "W1", "P1", dt.date(1994, 12, 30), dt.date(1996, 1, 5), 9, dt.date(y, 1, 1), 0) for y in (1994, 1995, 1996)]
+        + [("B2", "W1", "P1", dt.date(1995, 2, 1), dt.date(1995, 2, 9), 4, dt.date(1995, 1, 1), 0)],
+        Q.LOT + ", period date, q long")
+    moves = spark.createDataFrame([("B1", dt.date(1994, 1, 1), 2), ("B1", dt.date(1995, 1, 1), 3), ("B1", dt.date(1995, 1, 1), 1),
+                                   ("B3", dt.date(1995, 1, 1), 7)], "batch_id string, period date, q long")
+    got = Q._before(lots, moves)
+    assert plan(got).count("Exchange") == 1
+    assert sorted((r["batch_id"], r["period"].year, r["out_before"]) for r in got.collect()) == [
+        ("B1", 1994, 0), ("B1", 1995, 2), ("B1", 1996, 6), ("B2", 1995, 0)]
+
+
+def test_balances_are_built_for_the_queries_that_read_them(spark, monkeypatch):
+    from shelflife.plans import registry
+    built = []
+    monkeypatch.setattr(registry, "_BALANCES", {})
+    monkeypatch.setattr(registry.balances, "build", lambda store, root, build=Q.build: built.append(root) or build(store, root))
+    margin = registry.gross_margin_published(spark, "/root/testdata/sf0.001").count()
+    assert margin and not built
+    assert registry.stock_on_hand_snapshot(spark, "/root/testdata/sf0.001").count()
+    assert registry.expiry_writeoffs_snapshot(spark, "/root/testdata/sf0.001").count() and len(built) == 1
