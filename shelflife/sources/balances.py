@@ -23,7 +23,7 @@ from shelflife.functions.dates import as_date
 from shelflife.operators.common import EXPIRY
 from shelflife.operators.staging import lot_position
 from shelflife.session import PACKED
-from shelflife.sources.store import PERIOD, Store, first_day, next_period, period_of
+from shelflife.sources.store import PERIOD, Store, first_day, in_periods, next_period, period_of
 
 LOT = "batch_id string, warehouse_id string, product_id string, receipt_date date, expiry_date date, quantity_received int"
 SCHEMAS = {
@@ -63,15 +63,24 @@ def _before(alive: DataFrame, moves: DataFrame) -> DataFrame:
     """Lots by the periods that they are alive in, with the units that had left them before.
 
     Lots' periods and movements meet in one dealing out by lot, which both the sums by
-    period and the running sum over them keep to.
+    period and the running sum over them keep to.  Where movements have their ``day``, the
+    units that left a lot in a period before it expired are added up on the way (``out_unexpired``).
     """
-    whole = alive.select("batch_id", PERIOD, "q", F.struct(*LOT_COLUMNS[1:]).alias("lot")).unionByName(
-        moves.select("batch_id", PERIOD, "q"), allowMissingColumns=True)
-    per = (whole.repartition("batch_id").groupBy("batch_id", PERIOD)
-           .agg(F.sum("q").alias("q"), F.first("lot", True).alias("lot")))
+    own = ["batch_id", PERIOD, "q"]
+    by_day = "day" in moves.columns
+    whole = (alive.select(*own, F.struct(*LOT_COLUMNS[1:]).alias("lot"))
+             .unionByName(moves.select(*own, *["day"] * by_day), allowMissingColumns=True).repartition("batch_id"))
+    sums = [F.sum("q").alias("q"), F.first("lot", True).alias("lot")]
+    if by_day:
+        here = Window.partitionBy("batch_id", PERIOD)
+        whole = whole.withColumn("lot", F.first("lot", True).over(here))
+        sums.append(F.sum(F.when(F.col("batch_id").isNotNull() & (F.col("day") < F.col("lot.expiry_date")), F.col("q")))
+                    .alias("out_unexpired"))
+    per = whole.groupBy("batch_id", PERIOD).agg(*sums)
     before = Window.partitionBy("batch_id").orderBy(PERIOD).rowsBetween(Window.unboundedPreceding, -1)
     return (per.withColumn("out_before", F.coalesce(F.sum("q").over(before), F.lit(0)))
-            .where("lot is not null").select("batch_id", "lot.*", "out_before", PERIOD))
+            .where("lot is not null")
+            .select("batch_id", "lot.*", "out_before", *["out_unexpired"] * by_day, PERIOD))
 
 
 def build(store: Store, root: str, until: dt.date | None = None) -> None:
@@ -79,14 +88,15 @@ def build(store: Store, root: str, until: dt.date | None = None) -> None:
 
     A lot is in the snapshot of every period from its receipt to its expiry; what left it
     before is a running sum over its periods, one row each, however many sales it served.
-    Movements dated before the period of their lot's receipt count from that period on.
+    What left it in the period of its expiry is stored with that, so the lots that ran out of
+    time are read from their snapshots alone.  Movements dated before the period of their lot's receipt count from that period on.
     """
     spark, unit, root = store["fact_sales"].sparkSession, store.unit, root.rstrip("/")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def write(df: DataFrame, name: str) -> DataFrame:
+    def write(df: DataFrame, name: str, *more: str) -> DataFrame:
         columns = [c.split()[0] for c in SCHEMAS[name].split(", ")]
-        (df.select(*columns).repartitionByRange(n, PERIOD, "batch_id")
+        (in_periods(df.select(*more, *columns), unit, n, "batch_id")
          .write.mode("overwrite").options(**PACKED).partitionBy(PERIOD).parquet(f"{root}/{name}"))
         return _read(spark, root, name)
 
@@ -99,8 +109,11 @@ def build(store: Store, root: str, until: dt.date | None = None) -> None:
     step = F.expr({"month": "interval 1 month", "quarter": "interval 3 months", "year": "interval 1 year"}[unit])
     alive = lots.where(first <= last).select(
         *LOT_COLUMNS, F.explode(F.sequence(first, last, step)).alias(PERIOD), F.lit(0).cast("long").alias("q"))
-    snaps = write(_before(alive, moves), "snapshots")
-    write(_ran_out(snaps, moves, unit), "expired")
+    write(_before(alive, moves), "snapshots", "out_unexpired")
+    snaps = spark.read.schema(f"out_unexpired long, {SCHEMAS['snapshots']}").parquet(f"{root}/snapshots")
+    left = F.col("quantity_received") - F.col("out_before") - F.coalesce("out_unexpired", F.lit(0))
+    ended = snaps.where((period_of("expiry_date", unit) == F.col(PERIOD)) & (left > 0))
+    write(ended.withColumn("quantity_left", left), "expired")
     write(lot_position(lots, facts[1], facts[2]).withColumn(PERIOD, period_of("expiry_date", unit)), "positions")
 
 

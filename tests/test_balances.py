@@ -133,3 +133,30 @@ def test_balances_are_built_for_the_queries_that_read_them(spark, monkeypatch):
     assert margin and not built
     assert registry.stock_on_hand_snapshot(spark, "/root/testdata/sf0.001").count()
     assert registry.expiry_writeoffs_snapshot(spark, "/root/testdata/sf0.001").count() and len(built) == 1
+
+
+def test_units_gone_before_the_expiry_come_with_the_snapshot(spark):
+    """One dealing gives what left a lot before a period and, in the period of its expiry, until that day."""
+    day = lambda *x: dt.date(*x)
+    lots = spark.createDataFrame(
+        [(b, "W1", "P1", day(1994, 12, 30), day(1995, 1, 5), 9, day(y, 1, 1), 0) for b in ("B1", None) for y in (1994, 1995)]
+        + [("B2", "W1", "P1", day(1995, 2, 1), day(1995, 2, 9), 4, day(1995, 1, 1), 0)], Q.LOT + ", period date, q long")
+    moves = spark.createDataFrame(
+        [("B1", day(1994, 1, 1), 2, day(1994, 12, 31)), ("B1", day(1995, 1, 1), 3, day(1995, 1, 4)),
+         ("B1", day(1995, 1, 1), 1, day(1995, 1, 5)), (None, day(1995, 1, 1), 5, day(1995, 1, 2)), ("B3", day(1995, 1, 1), 7, day(1995, 1, 2))],
+        "batch_id string, period date, q long, day date")
+    got = Q._before(lots, moves)
+    assert plan(got).count("Exchange") == 1
+    assert sorted(((r["batch_id"], r["period"].year, r["out_before"], r["out_unexpired"]) for r in got.collect()), key=str) == [
+        ("B1", 1994, 0, 2), ("B1", 1995, 2, 3), ("B2", 1995, 0, None), (None, 1994, 0, None), (None, 1995, 0, None)]
+
+
+def test_balances_by_year_are_written_where_they_are_made(spark, small, store, monkeypatch):
+    written = []
+    monkeypatch.setattr(Q, "in_periods", lambda df, unit, n, order, f=Q.in_periods: written.append(f(df, unit, n, order)) or written[-1])
+    folder = A.scratch_path(spark, "test-where")
+    Q.build(store, folder)
+    # movements, snapshots, expired, positions: no ranges, and what ran out is a scan of the snapshots
+    assert len(written) == 4 and not any("rangepartitioning" in plan(df) for df in written)
+    assert "Exchange" not in plan(written[2])
+    same(Q.expiry_writeoffs(spark, folder, DATES[2], "year"), M.expiry_writeoffs(small, DATES[2]))
